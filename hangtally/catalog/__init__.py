@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hangtally.catalog import aggregation, extracts, joining, scalar, tables  # noqa: F401
+from hangtally.catalog import aggregation, extracts, joining, scalar, sizes, stocktaking, tables  # noqa: F401
 from hangtally.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

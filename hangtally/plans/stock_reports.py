@@ -54,3 +54,24 @@ def report_total(last: DataFrame, this: DataFrame, warehouse: DataFrame, article
     rows = both.join(articles.select("sku", "article", "size", "size_class"), "sku")
     status = G.run_status(G.size_pivot(rows, ["article"], "stock akhir")).select("article", "status")
     return rows.join(status, "article", "left").withColumnsRenamed({"article": "artikel", "size_class": "bot/top"})
+
+
+def status_with_sales(rows: DataFrame) -> DataFrame:
+    """Stock by size, sales beside it and the status in which the free size counts; articles
+    without stock and sales are left out.  Sales ride along in the pivot's own shuffle."""
+    from hangtally import constants as K
+    sold = F.when(F.col("stat") == K.SALE, -F.col("qty")).otherwise(F.lit(0.0))
+    keys = ["store_id", "article"]
+    wide = G.size_pivot(rows, keys, "qty")
+    sales = rows.groupBy(*keys).agg(F.sum(sold).alias("sales_qty"))
+    out = G.run_status(wide, top=K.TOP_RUN_WITH_FREE, top_min=K.TOP_RUN_MIN_WITH_FREE).join(sales, keys)
+    return out.where("sum_qty <> 0 or sales_qty <> 0").select(*keys, "sum_qty", "sales_qty", "status")
+
+
+def stock_sales_dashboard(status: DataFrame, info: DataFrame, follow_up: DataFrame, stores: DataFrame,
+                          ages: DataFrame) -> DataFrame:
+    """Status with article details (the follow-up list first, the master where it is silent),
+    store and age."""
+    return (status.join(info, "article", "left").join(follow_up, "article", "left")
+            .withColumn("category", F.coalesce("md_category", "category")).drop("md_category")
+            .join(stores, "store_id", "left").join(ages, ["store_id", "article"], "left"))
