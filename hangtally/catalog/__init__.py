@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from hangtally.catalog import aggregation, extracts, joining, scalar, sizes, stocktaking, tables  # noqa: F401
+from hangtally.catalog import (  # noqa: F401
+    aggregation, dashboard, extracts, forecast, joining, scalar, sizes, stocktaking, streams, tables,
+)
 from hangtally.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -99,7 +99,7 @@ VIEWS: dict[str, str] = {
     "intraday": """
         SELECT event_id AS line_id, user_id AS store_id, CAST(FLOOR(value) AS BIGINT) AS sku,
                CAST(ts AS DATE) AS move_date, ts AS input_ts, event_type AS stat,
-               CASE event_type WHEN 'purchase' THEN -1.0 WHEN 'error' THEN 1.0 ELSE 0.0 END AS qty
+               CASE event_type WHEN 'purchase' THEN -1e0 WHEN 'error' THEN 1e0 ELSE 0e0 END AS qty
         FROM events""",
     "doc_header": """
         SELECT o_orderkey AS doc_id, o_orderpriority = '5-LOW' AS foreign_prefix, o_custkey AS store_id,
