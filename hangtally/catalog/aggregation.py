@@ -26,7 +26,8 @@ FIRST = "line_no, gross, qty, article_status"
 def _(s):
     order = [F.col(c).alias(f"k{i}") for i, c in enumerate(["line_no", "gross", "qty", "article_status"])]
     lines = s.sales_line.withColumn("gross_exact", X.money("gross"))
-    return (A.sum_first(lines, ["doc_id", "store_id", "sku", "sales_date"], ["qty", "gross_exact"], ["article_status", "line_no"], order)
+    return (A.sum_first(lines, ["doc_id", "store_id", "sku", "sales_date"], ["qty", "gross_exact"], ["article_status"], order,
+                        carried=["line_no"])
             .withColumnRenamed("gross_exact", "gross"))
 
 

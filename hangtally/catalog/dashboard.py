@@ -62,15 +62,17 @@ MART_SELECT = """SELECT doc_id, store_id, sku, sales_date,
     net_amount / 1.11e0 AS dpp, sim_amount / 1.11e0 AS dpp2 FROM mart"""
 
 
-def mart(s, headers, period):
+def mart(s, headers, period, since, until):
     lines = s.sales_line.drop("sales_date")
-    allocation = S.discount_allocation(cuts(s), charges(s), s.sales_line)
-    return SM.sales_mart(headers.drop("mark_id"), lines, s.discount, s.mark, allocation, s.rate_asof, s.rate_band, period)
+    span = s.between(since, until)
+    allocation = S.discount_allocation(cuts(span), charges(span), s.sales_line)
+    return SM.sales_mart(headers.drop("mark_id"), lines, s.discount, s.mark, allocation, s.rate_asof, s.rate_band, period,
+                         since, until)
 
 
 def mart_of_year(s, year):
-    headers = s.between(f"{year}-01-01", f"{year}-12-31").sales_header
-    return mart(s, headers, X.in_year("sales_date", year))
+    since, until = f"{year}-01-01", f"{year}-12-31"
+    return mart(s, s.between(since, until).sales_header, X.in_year("sales_date", year), since, until)
 
 
 @query("sales_mart", f"WITH {mart_sql('YEAR(h.sales_date) = 1998')} {MART_SELECT}", dates=["sales_date"])
@@ -81,8 +83,8 @@ def _(s):
 @query("sales_today", f"""WITH {mart_sql("h.input_date = DATE '1998-03-10'")} {MART_SELECT}""", dates=["sales_date"])
 def _(s):
     # documents are entered at most a few weeks after their date: the scan keeps to that range
-    headers = s.between("1998-02-01", "1998-03-10").sales_header
-    return mart(s, headers, F.col("input_date") == X.day("1998-03-10")).select(*MART_COLUMNS)
+    since, until = "1998-02-01", "1998-03-10"
+    return mart(s, s.between(since, until).sales_header, F.col("input_date") == X.day(until), since, until).select(*MART_COLUMNS)
 
 
 @query("bazaar_sales", """

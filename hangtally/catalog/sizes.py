@@ -84,7 +84,7 @@ def season_sales(s):
 
 
 def sales_pivot(s, *keys):
-    return G.size_pivot(season_sales(s), list(keys), "qty", carry=("size_class", "category"))
+    return G.size_pivot(season_sales(s), list(keys), "qty")
 
 
 @query("size_run_status_sales", f"""
@@ -112,7 +112,7 @@ def _(s):
     SELECT *, {DOMINANT} AS dominant_size FROM c""")
 def _(s):
     # sizes are summed by category straight away: the buckets are sums of sizes
-    wide = G.size_buckets(G.size_pivot(season_sales(s), ["store_id", "category"], "qty", carry=()))
+    wide = G.size_buckets(G.size_pivot(season_sales(s), ["store_id", "category"], "qty", size_class=None))
     return wide.select("store_id", "category", "size_small", "size_medium", "size_large", G.dominant_bucket().alias("dominant_size"))
 
 

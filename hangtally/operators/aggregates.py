@@ -39,11 +39,17 @@ def first_value(column: str, order: Sequence[Column]) -> Column:
 
 
 def sum_first(df: DataFrame, keys: Sequence[str], sums: Sequence[str], firsts: Sequence[str],
-              order: Sequence[Column]) -> DataFrame:
-    """Sum some columns and take the first non-null of others, per key."""
+              order: Sequence[Column], carried: Sequence[str] = ()) -> DataFrame:
+    """Sum some columns, take the first non-null of others, per key.
+
+    ``carried`` columns are never null; they all come from the first row at once.
+    """
     aggs = [F.sum(c).alias(c) for c in sums]
     aggs += [first_value(c, order).alias(c) for c in firsts]
-    return not_null_keys(df, keys).groupBy(*keys).agg(*aggs)
+    if carried:
+        aggs.append(F.min(F.struct(*order, *[F.col(c) for c in carried])).alias("_row"))
+    out = not_null_keys(df, keys).groupBy(*keys).agg(*aggs)
+    return out.withColumns({c: F.col(f"_row.{c}") for c in carried}).drop("_row") if carried else out
 
 
 def modal_value(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

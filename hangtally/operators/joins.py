@@ -13,55 +13,64 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def _limits(facts: DataFrame, date: str, since: str | None, until: str | None) -> tuple[Column, Column]:
+    """First and last fact date: the caller's, else read from the facts."""
+    if since and until:
+        return F.lit(since).cast("date"), F.lit(until).cast("date")
+    span = facts.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("span")).scalar()
+    return span.getField("lo"), span.getField("hi")
+
+
 def asof_join(facts: DataFrame, rates: DataFrame, keys: Sequence[str], fact_date: str,
-              rate_date: str, value: str, out: str) -> DataFrame:
+              rate_date: str, value: str, out: str, since: str | None = None,
+              until: str | None = None) -> DataFrame:
     """Latest ``value`` with ``rate_date <= fact_date`` per key; null if there is none.
 
-    The look-up runs on distinct (key, date) pairs, so the window holds at most one row
-    per calendar day and key however many facts a hot key has; the facts then take the
-    answer by an equi join on key and date.  On equal rate dates the lowest value wins.
+    All preparation is on the rates: one per key and day (the lowest value), valid until
+    the next one, cut to the fact dates' range and spread over the months it touches.  The
+    facts are read once and meet at most the rates of their own key and month, of which
+    exactly one can match; if the prepared rates are small, Spark broadcasts them and the
+    facts are not shuffled.
     """
     keys = list(keys)
-    points = (facts.where(F.col(fact_date).isNotNull()).select(*keys, F.col(fact_date).alias("_d"))
-              .distinct().withColumn("_v", F.lit(None).cast(rates.schema[value].dataType))
-              .withColumn("_ask", F.lit(1)))
-    marks = (rates.groupBy(*keys, F.col(rate_date).alias("_d")).agg(F.min(value).alias("_v"))
-             .withColumn("_ask", F.lit(0)))
-    upto = (Window.partitionBy(*keys).orderBy("_d", "_ask")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    answers = (points.unionByName(marks)
-               .withColumn(out, F.last("_v", ignorenulls=True).over(upto))
-               .where("_ask = 1").select(*keys, F.col("_d").alias(fact_date), out))
-    return facts.join(answers, [*keys, fact_date], "left")
+    lo, hi = _limits(facts, fact_date, since, until)
+    daily = rates.groupBy(*keys, F.col(rate_date).alias("_from")).agg(F.min(value).alias(out))
+    follows = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
+    spans = (daily.withColumn("_to", F.least(F.coalesce(F.date_sub(follows, 1), hi), hi))
+             .withColumn("_from", F.greatest("_from", lo)).where("_from <= _to")
+             .withColumn("_m", F.explode(F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"),
+                                                    F.expr("interval 1 month")))))
+    left = facts.withColumn("_m", F.trunc(fact_date, "MM")).alias("f")
+    right = spans.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         F.col("_m").alias("_rm"), "_from", "_to", out).alias("r")
+    match = F.col("_m") == F.col("_rm")
+    for i, k in enumerate(keys):
+        match = match & (F.col(f"f.{k}") == F.col(f"_k{i}"))
+    match = match & F.col(f"f.{fact_date}").between(F.col("_from"), F.col("_to"))
+    return left.join(right, match, "left").select("f.*", f"r.{out}").drop("_m")
 
 
 def interval_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], fact_date: str,
-                  begin: str, end: str, value: str, out: str) -> DataFrame:
+                  begin: str, end: str, value: str, out: str, since: str | None = None,
+                  until: str | None = None) -> DataFrame:
     """``value`` of the band with ``begin <= fact_date <= end`` per key.
 
-    Bands are cut into the months they touch (up to the last fact date), so a date only
-    meets the bands of its own month and key.  If bands overlap, the latest begin wins,
-    then the lowest value.
+    If bands overlap, the latest begin wins, then the lowest value.  The overlap is settled
+    on the bands: each is laid out by day inside the fact dates' range and the latest begin
+    of a day is kept.  The facts are read once and join on key and date.
     """
     keys = list(keys)
-    points = (facts.where(F.col(fact_date).isNotNull())
-              .select(*keys, F.col(fact_date).alias("_d")).distinct()
-              .withColumn("_m", F.trunc("_d", "MM")))
-    limits = points.agg(F.min("_d").alias("lo"), F.max("_d").alias("hi"))
-    lo, hi = limits.select("lo").scalar(), limits.select("hi").scalar()
-    cut = (bands.select(*keys, F.col(begin).alias("_b"), F.col(end).alias("_e"),
-                        F.col(value).alias("_v"))
-           .withColumn("_from", F.greatest(F.col("_b"), lo))
-           .withColumn("_to", F.least(F.col("_e"), hi))
-           .where("_from <= _to")
-           .withColumn("_m", F.explode(F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"),
-                                                  F.expr("interval 1 month")))))
-    hits = (points.join(cut, [*keys, "_m"])
-            .where((F.col("_d") >= F.col("_b")) & (F.col("_d") <= F.col("_e")))
-            .groupBy(*keys, "_d")
+    lo, hi = _limits(facts, fact_date, since, until)
+    # per key and begin day and end day the lowest value; per day the greatest begin
+    one = (bands.groupBy(*keys, F.col(begin).alias("_b"), F.col(end).alias("_e"))
+           .agg(F.min(value).alias("_v"))
+           .withColumn("_from", F.greatest("_b", lo)).withColumn("_to", F.least("_e", hi))
+           .where("_from <= _to"))
+    days = one.withColumn(fact_date, F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))))
+    best = (days.groupBy(*keys, fact_date)
             .agg(F.max(F.struct(F.col("_b"), (-F.col("_v")).alias("_nv"))).alias("_best"))
-            .select(*keys, F.col("_d").alias(fact_date), (-F.col("_best._nv")).alias(out)))
-    return facts.join(hits, [*keys, fact_date], "left")
+            .select(*keys, fact_date, (-F.col("_best._nv")).alias(out)))
+    return facts.join(best, [*keys, fact_date], "left")
 
 
 def null_safe_anti(new: DataFrame, old: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -44,9 +44,10 @@ def running_suffix(df: DataFrame, code: str, unique_id: str, out: str) -> DataFr
 
 def sequence_fill(df: DataFrame, target: str, order_id: str, start: int) -> DataFrame:
     """Fill null ids with start, start + 1, ... in the order of ``order_id``."""
-    filled = number_rows(df.where(F.col(target).isNull()), [], order_id, "_n")
-    filled = filled.withColumn(target, (F.col("_n") + (start - 1)).cast(df.schema[target].dataType))
-    return df.where(F.col(target).isNotNull()).unionByName(filled.select(*df.columns))
+    numbered = number_rows(df.withColumn("_gap", F.col(target).isNull()), ["_gap"], order_id, "_n")
+    spare = (F.col("_n") + (start - 1)).cast(df.schema[target].dataType)
+    return (numbered.withColumn(target, F.when(F.col("_gap"), spare).otherwise(F.col(target)))
+            .select(*df.columns))
 
 
 def pair_by_position(left: DataFrame, right: DataFrame, keys: Sequence[str], order_id: str,

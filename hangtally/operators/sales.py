@@ -88,14 +88,16 @@ def store_modal_margin(rates: DataFrame, store: str = "cust_id") -> DataFrame:
     return modal_value(current, [store], "margin", "modal_margin")
 
 
-def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id") -> DataFrame:
+def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id",
+                   since: str | None = None, until: str | None = None) -> DataFrame:
     """Margin by dated band, else by effective date, else the store's usual margin.
 
     Status tells whether a margin was found before the fallback.
     """
     out = interval_join(lines, bands, [store, "category_id", "mark_id"], "sales_date",
-                        "begin_date", "end_date", "margin", "_band")
-    out = asof_join(out, rates, [store, "mark_id"], "sales_date", "effective_date", "margin", "_asof")
+                        "begin_date", "end_date", "margin", "_band", since, until)
+    out = asof_join(out, rates, [store, "mark_id"], "sales_date", "effective_date", "margin", "_asof",
+                    since, until)
     found = F.coalesce("_band", "_asof", F.lit(0))
     out = (out.withColumn("_found", found).drop("_band", "_asof")
            .join(store_modal_margin(rates, store), store, "left"))

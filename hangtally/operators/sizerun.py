@@ -11,18 +11,36 @@ from pyspark.sql.window import Window
 from hangtally import constants as K
 
 
+CLASS_CODES = {"BOTTOM": 1, "TOP": 2}
+
+
+def class_code(size_class: Column) -> Column:
+    """The size class as a number.  A text cannot be kept in a hash aggregate's buffer (the
+    whole input would be sorted instead), a number can."""
+    return F.when(size_class == "TOP", CLASS_CODES["TOP"]).when(size_class == "BOTTOM", CLASS_CODES["BOTTOM"])
+
+
+def class_name(code: Column) -> Column:
+    return F.when(code == CLASS_CODES["TOP"], "TOP").when(code == CLASS_CODES["BOTTOM"], "BOTTOM")
+
+
+def size_cells(value: Column, size: Column) -> list[Column]:
+    """One zero-filled sum per known size; the list is fixed, so one shuffle is enough."""
+    return [F.coalesce(F.sum(F.when(size == s, value)), F.lit(0)).cast("long").alias(s) for s in K.ALL_SIZES]
+
+
 def size_pivot(df: DataFrame, keys: Sequence[str], value: str, size: str = "size",
-               carry: Sequence[str] = ("size_class",)) -> DataFrame:
-    """One zero-filled column per known size, in one shuffle (the size list is fixed).
+               size_class: str | None = "size_class", extra: Sequence[Column] = ()) -> DataFrame:
+    """One column per known size, their sum as ``sum_qty``, and the size class of the key.
 
-    ``carry`` columns are attributes of the key; their greatest value is kept, so the
-    pivot never grows rows.  ``sum_qty`` is the sum over all size columns.
+    The class is an attribute of the key; if rows disagree, TOP wins, so the pivot never
+    grows rows.  ``extra`` aggregates ride along in the same shuffle.
     """
-    cells = [F.coalesce(F.sum(F.when(F.col(size) == s, F.col(value))), F.lit(0)).cast("long").alias(s)
-             for s in K.ALL_SIZES]
-    wide = (df.dropna(subset=list(keys)).groupBy(*keys)
-            .agg(*[F.max(c).alias(c) for c in carry], *cells))
-    return wide.withColumn("sum_qty", add(K.ALL_SIZES))
+    aggs = [*size_cells(F.col(value), F.col(size)), *extra]
+    if size_class:
+        aggs.append(F.max(class_code(F.col(size_class))).alias("_class"))
+    wide = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs).withColumn("sum_qty", add(K.ALL_SIZES))
+    return wide.withColumn("size_class", class_name(F.col("_class"))).drop("_class") if size_class else wide
 
 
 def add(columns: Sequence[str]) -> Column:

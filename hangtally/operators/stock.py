@@ -38,29 +38,26 @@ def last_count_dates(counts: DataFrame, openings: DataFrame, stores: DataFrame,
     is still ahead, a start from an open count moves back one day.
     """
     now = day(today)
-    aggs = [F.max(F.when(F.col("d") <= now, F.col("d"))).alias("now")]
-    for i, e in enumerate(ends):
-        upto = F.col("d") <= day(e)
-        aggs.append(F.max(F.when(upto, F.col("d"))).alias(f"e{i}"))
-        aggs.append(F.max_by("s", F.when(upto, F.struct("d", "s"))).alias(f"s{i}"))
-    count_dates = (counts.select("store_id", F.col("count_date").alias("d"), F.col("status").alias("s"))
-                   .groupBy("store_id").agg(*aggs))
-    open_dates = (openings.select("store_id", F.col("inject_date").alias("d"),
-                                  F.lit(None).cast("string").alias("s"))
-                  .groupBy("store_id").agg(*aggs))
-    c, o = count_dates.alias("c"), open_dates.alias("o")
-    both = (stores.select("store_id", "hold")
-            .join(c, "store_id", "left").join(o, "store_id", "left"))
+    # date and "count is finished" as one number: a hash aggregate can keep its maximum
+    stamp = F.unix_date("count_date") * 2 + F.when(F.col("status") == K.CLOSED, 0).otherwise(1)
+    counted = counts.groupBy("store_id").agg(
+        F.max(F.when(F.col("count_date") <= now, F.col("count_date"))).alias("count_now"),
+        *[F.max(F.when(F.col("count_date") <= day(e), stamp)).alias(f"count_{i}") for i, e in enumerate(ends)])
+    opened = openings.groupBy("store_id").agg(
+        F.max(F.when(F.col("inject_date") <= now, F.col("inject_date"))).alias("open_now"),
+        *[F.max(F.when(F.col("inject_date") <= day(e), F.col("inject_date"))).alias(f"open_{i}")
+          for i, e in enumerate(ends)])
+    both = stores.select("store_id", "hold").join(counted, "store_id", "left").join(opened, "store_id", "left")
     rows = []
     for i, e in enumerate(ends):
-        start = F.coalesce(F.col(f"c.e{i}"), F.col(f"o.e{i}"))
+        found = F.date_from_unix_date(F.floor(F.col(f"count_{i}") / 2).cast("int"))
         if e > today:
-            start = F.when(F.col(f"c.s{i}") == K.CLOSED, F.date_sub(F.col(f"c.e{i}"), 1)).otherwise(start)
-        latest = F.coalesce(F.col("c.now"), F.col("o.now"))
-        shut = (F.col("hold") == K.CLOSED) & (latest < day(e))
+            found = F.when(F.col(f"count_{i}") % 2 == 0, F.date_sub(found, 1)).otherwise(found)
+        start = F.coalesce(found, F.col(f"open_{i}"))
+        shut = (F.col("hold") == K.CLOSED) & (F.coalesce("count_now", "open_now") < day(e))
         rows.append(F.struct(day(e).alias("end_date"), start.alias("start_date"),
                              F.coalesce(shut, F.lit(False)).alias("shut"),
-                             F.when(F.col(f"c.e{i}").isNotNull(), "count").otherwise("opening").alias("origin")))
+                             F.when(F.col(f"count_{i}").isNotNull(), "count").otherwise("opening").alias("origin")))
     return (both.select("store_id", F.inline(F.array(*rows)))
             .where("start_date is not null and not shut").drop("shut"))
 
@@ -68,20 +65,20 @@ def last_count_dates(counts: DataFrame, openings: DataFrame, stores: DataFrame,
 def opening_stock(counts: DataFrame, openings: DataFrame, starts: DataFrame) -> DataFrame:
     """Counted stock from the start to the end date; stores that counted nothing in total
     take their opening balances up to the end date instead."""
+    keys = ["store_id", "end_date"]
     counted = (counts.select("store_id", "sku", "count_date", "qty")
                .join(starts.select("store_id", "start_date", "end_date"), "store_id")
-               .where("count_date between start_date and end_date")
-               .groupBy("store_id", "end_date", "sku").agg(F.sum("qty").alias("qty")))
-    totals = counted.groupBy("store_id", "end_date").agg(F.sum("qty").alias("_t"))
-    marked = (starts.select("store_id", "end_date").join(totals, ["store_id", "end_date"], "left")
-              .withColumn("_use_count", F.coalesce(F.col("_t"), F.lit(0)) != 0))
-    from_count = counted.join(marked.where("_use_count").select("store_id", "end_date"),
-                              ["store_id", "end_date"], "left_semi")
-    from_opening = (openings.select("store_id", "sku", "inject_date", "qty")
-                    .join(marked.where("not _use_count").select("store_id", "end_date"), "store_id")
-                    .where("inject_date <= end_date")
-                    .groupBy("store_id", "end_date", "sku").agg(F.sum("qty").alias("qty")))
-    return from_count.unionByName(from_opening)
+               .where("count_date between start_date and end_date"))
+    opened = (openings.select("store_id", "sku", "inject_date", "qty")
+              .join(starts.select("store_id", "end_date"), "store_id")
+              .where("inject_date <= end_date"))
+    sums = (union_rows([counted.select(*keys, "sku", F.col("qty").alias("counted")),
+                        opened.select(*keys, "sku", F.col("qty").alias("opened"))], allow_missing=True)
+            .groupBy(*keys, "sku").agg(F.sum("counted").alias("counted"), F.sum("opened").alias("opened")))
+    totals = counted.groupBy(*keys).agg(F.sum("qty").alias("_total"))
+    choice = F.when(F.coalesce("_total", F.lit(0)) != 0, F.col("counted")).otherwise(F.col("opened"))
+    return (sums.join(totals, keys, "left").withColumn("qty", choice)
+            .where("qty is not null").select(*keys, "sku", "qty"))
 
 
 def ledger_in_windows(movements: DataFrame, starts: DataFrame) -> DataFrame:

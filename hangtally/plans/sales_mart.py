@@ -14,18 +14,22 @@ MART_KEYS = ["doc_id", "store_id", "sku", "sales_date"]
 
 
 def sales_mart(headers: DataFrame, lines: DataFrame, discounts: DataFrame, marks: DataFrame, allocation: DataFrame,
-               rates: DataFrame, bands: DataFrame, period: Column | None = None) -> DataFrame:
+               rates: DataFrame, bands: DataFrame, period: Column | None = None,
+               since: str | None = None, until: str | None = None) -> DataFrame:
     """Lines of a period -> clean -> document discounts -> one row per document, store and
-    SKU -> margin -> keys and net amounts, in one plan and without a stored margin table."""
+    SKU -> margin -> keys and net amounts, in one plan and without a stored margin table.
+
+    ``since`` and ``until`` are the known limits of the sales dates (they bound the days
+    for which margins are laid out)."""
     rows = S.clean_sales(S.sales_lines(headers, lines, discounts, marks, period=period))
     rows = S.add_second_discount(rows, allocation.select("doc_id", *UNIT_PARTS), UNIT_PARTS)
     rows = rows.withColumns({"total_disc2": money("total_disc2"), "gross": money("gross")})
     order = [F.col(c).alias(f"k{i}") for i, c in enumerate(["line_no", "gross", "qty", "disc_id", "article_status", "mark_id"])]
     mart = sum_first(rows, MART_KEYS, ["qty", "gross", "total_disc2"],
-                     ["line_no", "cust_id", "mark_id", "category_id", "article_status", "event", "month_no", "year"], order)
+                     ["article_status", "event"], order, carried=["line_no", "cust_id", "mark_id", "category_id", "month_no", "year"])
     mart = mart.withColumns({"gross": F.col("gross").cast("double"), "total_disc2": F.col("total_disc2").cast("double"),
                              "event": F.coalesce("event", "article_status")})
-    mart = S.resolve_margin(mart, rates, bands)
+    mart = S.resolve_margin(mart, rates, bands, since=since, until=until)
     mart = mart.withColumns({
         "margin": F.coalesce(F.col("margin").cast("double"), F.lit(0.0)),
         "pk_id": surrogate_key("store_id", F.date_format("sales_date", "yyMMdd"), "sku"),

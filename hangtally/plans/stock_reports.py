@@ -62,9 +62,8 @@ def status_with_sales(rows: DataFrame) -> DataFrame:
     from hangtally import constants as K
     sold = F.when(F.col("stat") == K.SALE, -F.col("qty")).otherwise(F.lit(0.0))
     keys = ["store_id", "article"]
-    wide = G.size_pivot(rows, keys, "qty")
-    sales = rows.groupBy(*keys).agg(F.sum(sold).alias("sales_qty"))
-    out = G.run_status(wide, top=K.TOP_RUN_WITH_FREE, top_min=K.TOP_RUN_MIN_WITH_FREE).join(sales, keys)
+    wide = G.size_pivot(rows, keys, "qty", extra=[F.sum(sold).alias("sales_qty")])
+    out = G.run_status(wide, top=K.TOP_RUN_WITH_FREE, top_min=K.TOP_RUN_MIN_WITH_FREE)
     return out.where("sum_qty <> 0 or sales_qty <> 0").select(*keys, "sum_qty", "sales_qty", "status")
 
 
