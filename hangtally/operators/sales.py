@@ -114,8 +114,7 @@ def add_net_amounts(df: DataFrame, gross: str, disc2: str, margin: str, status:
 
 def monthly_sales_wide(lines: DataFrame, year: int) -> DataFrame:
     """Quantity per store and SKU in each month, one scan for all months."""
-    month = F.month("sales_date")
-    cells = [F.coalesce(F.sum(F.when(month == m, F.col("qty"))), F.lit(0.0)).alias(f"qty_{m:02d}")
+    cells = [F.expr(f"coalesce(sum(case when month(sales_date) = {m} then qty end), 0D) as qty_{m:02d}")
              for m in range(1, 13)]
     return lines.where(in_year("sales_date", year)).groupBy("store_id", "sku").agg(*cells)
 

@@ -24,9 +24,13 @@ def class_name(code: Column) -> Column:
     return F.when(code == CLASS_CODES["TOP"], "TOP").when(code == CLASS_CODES["BOTTOM"], "BOTTOM")
 
 
-def size_cells(value: Column, size: Column) -> list[Column]:
-    """One zero-filled sum per known size; the list is fixed, so one shuffle is enough."""
-    return [F.coalesce(F.sum(F.when(size == s, value)), F.lit(0)).cast("long").alias(s) for s in K.ALL_SIZES]
+def size_cells(value: str, size: str = "size") -> list[Column]:
+    """One zero-filled sum per known size and their total; the list is fixed, so one shuffle
+    is enough.  The total is an aggregate of its own, not a sum of 28 columns."""
+    known = ", ".join(f"'{s}'" for s in K.ALL_SIZES)
+    cells = {s: f"{size} = '{s}'" for s in K.ALL_SIZES} | {"sum_qty": f"{size} in ({known})"}
+    return [F.expr(f"cast(coalesce(sum(case when {test} then {value} end), 0) as bigint) as `{name}`")
+            for name, test in cells.items()]
 
 
 def size_pivot(df: DataFrame, keys: Sequence[str], value: str, size: str = "size",
@@ -36,25 +40,19 @@ def size_pivot(df: DataFrame, keys: Sequence[str], value: str, size: str = "size
     The class is an attribute of the key; if rows disagree, TOP wins, so the pivot never
     grows rows.  ``extra`` aggregates ride along in the same shuffle.
     """
-    aggs = [*size_cells(F.col(value), F.col(size)), *extra]
+    aggs = [*size_cells(f"`{value}`", size), *extra]
     if size_class:
         aggs.append(F.max(class_code(F.col(size_class))).alias("_class"))
-    wide = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs).withColumn("sum_qty", add(K.ALL_SIZES))
+    wide = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs)
     return wide.withColumn("size_class", class_name(F.col("_class"))).drop("_class") if size_class else wide
 
 
 def add(columns: Sequence[str]) -> Column:
-    total = F.col(f"`{columns[0]}`")
-    for c in columns[1:]:
-        total = total + F.col(f"`{c}`")
-    return total
+    return F.expr(" + ".join(f"`{c}`" for c in columns))
 
 
 def in_stock(columns: Sequence[str]) -> Column:
-    total = F.lit(0)
-    for c in columns:
-        total = total + F.when(F.col(f"`{c}`") > 0, 1).otherwise(0)
-    return total
+    return F.expr(" + ".join(f"int(`{c}` > 0)" for c in columns))
 
 
 def run_status(df: DataFrame, out: str = "status", size_class: str = "size_class",

@@ -176,9 +176,8 @@ def month_stock_wide(movements: DataFrame, year: int) -> DataFrame:
     """Stock on the first day of each month of the year, and of the next January."""
     cells = []
     for m in range(1, 14):
-        first = day(f"{year + m // 13}-{(m - 1) % 12 + 1:02d}-01")
-        cells.append(F.coalesce(F.sum(F.when(F.col("move_date") < first, F.col("qty"))), F.lit(0.0))
-                     .alias(f"stock_{m:02d}"))
+        first = f"date'{year + m // 13}-{(m - 1) % 12 + 1:02d}-01'"
+        cells.append(F.expr(f"coalesce(sum(case when move_date < {first} then qty end), 0D) as stock_{m:02d}"))
     return (movements.where(F.col("move_date") < day(f"{year + 1}-01-01"))
             .groupBy("store_id", "sku").agg(*cells))
 
@@ -193,13 +192,9 @@ def sell_through(stock: DataFrame, sales: DataFrame, returns: DataFrame) -> Data
     stock_cols = [f"stock_{m:02d}" for m in range(1, 14)]
     qty_cols = [f"qty_{m:02d}" for m in range(1, 13)]
     both = stock.join(sales, keys, "full").fillna(0, subset=stock_cols + qty_cols)
-    total = F.col(qty_cols[0])
-    for c in qty_cols[1:]:
-        total = total + F.col(c)
-    both = both.withColumns({f"ts_{m:02d}": F.col(f"qty_{m:02d}")
-                             + (F.col(f"stock_{m + 1:02d}") if m < 12 else F.lit(0.0))
-                             for m in range(1, 13)})
-    both = both.withColumn("total_sales_qty", total)
+    both = both.withColumns({
+        **{f"ts_{m:02d}": F.expr(f"qty_{m:02d} + stock_{m + 1:02d}" if m < 12 else "qty_12") for m in range(1, 13)},
+        "total_sales_qty": F.expr(" + ".join(qty_cols))})
     both = both.withColumn("ts_all", F.col("stock_13") + F.col("total_sales_qty"))
     back = returns.groupBy(*keys).agg((-F.sum("qty")).alias("qty_retur"))
     out = both.join(back, keys, "left")

@@ -56,14 +56,14 @@ def article_measures(m: Movements, articles: DataFrame, asof: str) -> DataFrame:
     attrs = articles.select("sku", "article", "size", G.class_code(F.col("size_class")).alias("_class"))
     rows = union_rows(_measures(m), allow_missing=True).join(attrs, "sku")
     ages = receipt_aging(m.receipts.join(attrs.select("sku", "article"), "sku"), KEYS, asof)
-    cells = G.size_cells(F.col("stocks"), F.col("size"))
+    cells = G.size_cells("stocks")
     table = union_rows([rows, ages], allow_missing=True).groupBy(*KEYS).agg(
         *cells, *[F.sum(c).alias(c) for c in SUMS],
         F.max("_class").alias("_class"), F.max("has_stock").alias("has_stock"),
         F.max("order_date").alias("order_date"), F.max("delivery_date").alias("delivery_date"),
         *[F.max(c).alias(c) for c in ("first_receipt", "last_receipt", "first_qty", "aging")])
     table = table.where("has_stock is not null or open_orders is not null or open_transfers is not null")
-    table = table.withColumn("sum_qty", G.add(K.ALL_SIZES)).withColumns({c: _zero(c) for c in [*SUMS, "first_qty"]})
+    table = table.withColumns({c: _zero(c) for c in [*SUMS, "first_qty"]})
     table = G.run_status(table.withColumn("size_class", G.class_name(F.col("_class"))).drop("_class")).withColumns({
         "status": F.when(F.col("has_stock").isNotNull(), F.col("status")),
         "aging": F.coalesce("aging", F.lit(0)),
