@@ -36,7 +36,7 @@ def _(s):
     moves = s.between("1996-01-01", "1998-12-31").movement
     path = scratch_path(s.spark, "snapshots")
     (net(moves.withColumn("label", F.lower(F.date_format("move_date", "MMM_yy"))), ("store_id", "sku", "label"))
-     .repartition("label", (F.col("store_id") % 4)).write.partitionBy("label").parquet(path))
+     .hint("rebalance", "label").write.partitionBy("label").parquet(path))
     return read_snapshots(s.spark, path, snapshot_labels(1996, 1997))
 
 

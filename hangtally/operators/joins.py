@@ -115,9 +115,10 @@ def renamed_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 
 
 def key_translate(facts: DataFrame, lookup: DataFrame, from_key: str, to_key: str) -> DataFrame:
-    """Replace one key by another through a lookup; unknown keys become null."""
-    return facts.join(lookup.select(from_key, to_key).dropDuplicates([from_key]), from_key,
-                      "left").drop(from_key)
+    """Replace one key by another through a lookup; unknown keys become null, a key with
+    several translations takes the least."""
+    one = lookup.groupBy(from_key).agg(F.min(to_key).alias(to_key))
+    return facts.join(one, from_key, "left").drop(from_key)
 
 
 def any_differs(pairs: Sequence[tuple[Column, Column]]) -> Column:

@@ -10,20 +10,26 @@ from pyspark.sql import functions as F
 from hangtally.operators.upsert import merge_upsert
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of one output folder together, few files each; adaptive execution splits the
+    large folders over several tasks and merges the small ones."""
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def overwrite(df: DataFrame, *paths: str, partition_by: Sequence[str] = ()) -> None:
     """Write the same frame to one or more places; with several it is computed once."""
     if len(paths) > 1:
         df = df.persist()
     for path in paths:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     if len(paths) > 1:
         df.unpersist()
 
 
 def export_by_month(df: DataFrame, date: str, path: str) -> None:
-    """One CSV folder per year and month.  The rows of a month stay spread over the tasks
-    that hold them, so a large month is written by many tasks."""
-    (df.withColumns({"year": F.year(date), "month": F.month(date)})
+    """One CSV folder per year and month."""
+    parts = ["year", "month"]
+    (rebalanced(df.withColumns({"year": F.year(date), "month": F.month(date)}), parts)
      .write.mode("overwrite").partitionBy("year", "month").option("header", True).csv(path))
 
 

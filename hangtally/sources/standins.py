@@ -154,14 +154,18 @@ class Standins:
     """Lazy frames over one data folder.  ``between`` gives the same frames with the raw
     document date limited at the scan."""
 
-    def __init__(self, spark: SparkSession, folder: str, lo: str | None = None, hi: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str, lo: str | None = None, hi: str | None = None,
+                 tables: dict[str, DataFrame] | None = None):
         self.spark, self.folder, self.lo, self.hi = spark, folder, lo, hi
+        self._tables = {} if tables is None else tables   # each table's schema is read once
 
     def between(self, lo: str | None, hi: str | None) -> "Standins":
-        return Standins(self.spark, self.folder, lo, hi)
+        return Standins(self.spark, self.folder, lo, hi, self._tables)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _dated(self, name: str, date: str) -> DataFrame:
         df = self.raw(name)
@@ -247,7 +251,7 @@ class Standins:
 
     def kind(self, returnflag: str, linestatus: str) -> DataFrame:
         """Movements of one kind, chosen by the raw flags so that the scan can skip."""
-        one = Standins(self.spark, self.folder, self.lo, self.hi)
+        one = self.between(self.lo, self.hi)
         one.__dict__["lineitem"] = self.lineitem.where(
             (F.col("l_returnflag") == returnflag) & (F.col("l_linestatus") == linestatus))
         return one.movement
