@@ -137,7 +137,7 @@ def fresh_articles(s):
 def stored_articles(s):
     """What the mart holds: older prices of every fifth size, no class for some."""
     size, key = F.col("p_size"), F.col("p_partkey")
-    return s.raw("part").where("p_size % 3 <> 0").select(
+    return s.raw("part").where("p_type <> 'PROMO'").select(
         F.concat(F.lit("A"), F.floor(key / 2).cast("string"), F.lit("-"), F.col("p_type"), F.when(key % 2 == 1, "-x").otherwise("")).alias("artsize"),
         key.alias("article_id"), F.col("p_name").alias("barcode"), F.col("p_retailprice").alias("price"), F.lit(0.0).alias("amount"),
         F.lit("OLD").alias("category"), F.lit("none").alias("rating"), F.lit("none").alias("photo"), F.lit(None).cast("string").alias("status"),
@@ -155,7 +155,7 @@ def stored_articles(s):
                  WHEN {FLOOR} IS NULL THEN NULL WHEN amount >= {FLOOR} THEN 'Normal' ELSE 'Obral' END AS price_class FROM n),
     old AS (SELECT 'A' || (p_partkey // 2) || '-' || p_type || CASE WHEN p_partkey % 2 = 1 THEN '-x' ELSE '' END AS artsize, p_partkey AS article_id,
                    p_name AS barcode, p_retailprice AS price, 0e0 AS amount, 'OLD' AS category, 'none' AS rating, 'none' AS photo,
-                   NULL::VARCHAR AS status, NULL::VARCHAR AS price_class FROM part WHERE p_size % 3 <> 0)
+                   NULL::VARCHAR AS status, NULL::VARCHAR AS price_class FROM part WHERE p_type <> 'PROMO')
     SELECT * FROM c UNION ALL SELECT * FROM old WHERE artsize NOT IN (SELECT artsize FROM c)""")
 def _(s):
     photos = s.raw("part").where("p_name like 's%'").select(F.col("p_name").alias("barcode")).distinct().withColumn(
@@ -173,7 +173,7 @@ STORE_COLUMNS = ["store_id", "cust_id", "store_code", "customer_code", "store_ty
         CASE WHEN c_nationkey = 1 THEN 'Surabaya' ELSE 'Other' END AS city, CAST(c_custkey % 12 AS INTEGER) AS group_id,
         CASE WHEN c_acctbal > 5000 THEN 'T' ELSE 'F' END AS net_flag, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS customer_code
         FROM customer LEFT JOIN store ON cust_id = c_custkey),
-    sup AS (SELECT 'C' || c_custkey AS store_code, 'S' || c_nationkey AS supervisor FROM customer WHERE c_custkey % 2 = 0),
+    sup AS (SELECT 'C' || c_custkey AS store_code, 'S' || c_nationkey AS supervisor FROM customer WHERE c_mktsegment <> 'BUILDING'),
     u AS (SELECT o_custkey AS cust_id, MIN('U' || o_orderkey) AS user_name FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
     j AS (SELECT b.*, COALESCE(user_name, '-') AS user_name, COALESCE(supervisor, '-') AS supervisor FROM b LEFT JOIN u USING (cust_id) LEFT JOIN sup USING (store_code)),
     r AS (SELECT * REPLACE (CASE WHEN city = 'Surabaya' AND store_code = 'MD185' THEN 'MD185.' ELSE store_code END AS store_code) FROM j),
@@ -201,7 +201,7 @@ def _(s):
         F.lit(None).cast("string").alias("new_name")).join(s.store.select("cust_id", "store_id"), "cust_id", "left")
     users = s.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("cust_id"),
                                                          F.concat(F.lit("U"), F.col("o_orderkey").cast("string")).alias("user_name"))
-    contacts = c.where(key % 2 == 0).select(F.concat(F.lit("C"), text).alias("store_code"),
+    contacts = c.where("c_mktsegment <> 'BUILDING'").select(F.concat(F.lit("C"), text).alias("store_code"),
                                             F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("supervisor"))
     none = F.lit(None).cast("string")
     stored = s.raw("supplier").select(

@@ -97,13 +97,13 @@ def _(s):
 
 
 @query("store_users", """
-    SELECT c_custkey AS user_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey END AS cust_id
-    FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_custkey % 3 = 2 AND c_acctbal >= 0 AND o_orderkey % 5 <> 0""")
+    SELECT c_custkey AS user_id, o_orderkey AS cust_id
+    FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_nationkey < 10 AND c_acctbal >= 0 AND o_orderpriority <> '5-LOW'""")
 def _(s):
-    users = s.raw("customer").select(F.col("c_custkey").alias("user_id"), (F.col("c_custkey") % 3).alias("user_level"),
+    users = s.raw("customer").select(F.col("c_custkey").alias("user_id"), F.when(F.col("c_nationkey") < 10, 2).otherwise(1).alias("user_level"),
                                      F.when(F.col("c_acctbal") < 0, "T").otherwise("F").alias("hold"))
     access = s.orders.select(F.col("o_custkey").alias("user_id"),
-                             F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("cust_id"))
+                             F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).alias("cust_id"))
     return M.store_users(users, access)
 
 
@@ -225,7 +225,7 @@ def _(s):
     SELECT DISTINCT d.o_orderkey AS transfer_id, CAST(d.o_orderdate AS DATE) AS transfer_date, d.o_custkey AS store_from,
            r.o_orderkey * 3 AS receipt_id, t.l_partkey AS sku, t.l_quantity AS sent_qty, rl.l_quantity AS received_qty
     FROM orders d LEFT JOIN lineitem t ON t.l_orderkey = d.o_orderkey AND t.l_returnflag <> 'N'
-    LEFT JOIN orders r ON r.o_orderkey = d.o_orderkey AND r.o_orderkey % 3 <> 0
+    LEFT JOIN orders r ON r.o_orderkey = d.o_orderkey AND r.o_orderpriority <> '1-URGENT'
     LEFT JOIN lineitem rl ON rl.l_orderkey = r.o_orderkey AND rl.l_partkey = t.l_partkey AND rl.l_linestatus = 'O'
     WHERE d.o_orderstatus <> 'F' AND d.o_orderdate >= TIMESTAMP '1998-04-01 00:00:00' AND d.o_orderdate < TIMESTAMP '2000-10-01 00:00:00'""",
        dates=["transfer_date"])
@@ -235,7 +235,7 @@ def _(s):
     transfers = span.orders.select(key.alias("transfer_id"), F.to_date("o_orderdate").alias("transfer_date"),
                                    F.col("o_custkey").alias("store_from"))
     deliveries = span.orders.where("o_orderstatus <> 'F'").select(key.alias("transfer_id"), (key * 2).alias("delivery_id"))
-    receipts = s.orders.where(key % 3 != 0).select((key * 2).alias("delivery_id"), (key * 3).alias("receipt_id"))
+    receipts = s.orders.where("o_orderpriority <> '1-URGENT'").select((key * 2).alias("delivery_id"), (key * 3).alias("receipt_id"))
     lines = s.lineitem.where("l_returnflag <> 'N'").select(F.col("l_orderkey").alias("transfer_id"), F.col("l_partkey").alias("sku"),
                                                            F.col("l_quantity").alias("sent_qty"))
     got = s.lineitem.where("l_linestatus = 'O'").select((F.col("l_orderkey") * 3).alias("receipt_id"), F.col("l_partkey").alias("sku"),
