@@ -47,7 +47,8 @@ def sum_first(df: DataFrame, keys: Sequence[str], sums: Sequence[str], firsts: S
     aggs = [F.sum(c).alias(c) for c in sums]
     aggs += [first_value(c, order).alias(c) for c in firsts]
     if carried:
-        aggs.append(F.min(F.struct(*order, *[F.col(c) for c in carried])).alias("_row"))
+        rank = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+        aggs.append(F.min(F.struct(*rank, *[F.col(c) for c in carried])).alias("_row"))
     out = not_null_keys(df, keys).groupBy(*keys).agg(*aggs)
     return out.withColumns({c: F.col(f"_row.{c}") for c in carried}).drop("_row") if carried else out
 
