@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,15 +28,13 @@ def build_session(master: str | None = None, app: str = "hangtally", **extra: st
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder set in ``spark.checkpoint.dir``.
+    """A new folder name under the shared folder of the session.
 
-    Local sessions (tests) without that setting get a folder of their own; on a
-    cluster the setting is required, because executors must see what others wrote.
+    The folder is the setting ``spark.checkpoint.dir`` or, where that is unset, the session's
+    checkpoint directory. There is no other place: executors must see what others wrote.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+            or spark.sparkContext.getCheckpointDir())
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
