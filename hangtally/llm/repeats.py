@@ -33,10 +33,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructType, _parse_datatype_string
 
 from hangtally.llm.common import batch, prepare, stored
 
@@ -347,10 +347,12 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Data
     return rows.mapInArrow(apply, schema)
 
 
-@F.pandas_udf("string")
-def as_text(kept: pd.Series) -> pd.Series:
+def as_text(kept: str) -> Column:
     """Bytes as text, without characters that have lost a part of their bytes."""
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+    def decoded(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    return F.pandas_udf(decoded, StringType())(F.col(kept))
 
 
 def digests(cleaned: DataFrame) -> DataFrame:
