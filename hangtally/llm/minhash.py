@@ -8,10 +8,11 @@ left out; equal entries find every pair within that distance. A pair of similari
 entries with probability 5e-10. Pairs found are confirmed on the full sets.
 
 Equal sets are one class and are never compared with each other. Within an entry's group the first
-member is compared with all others; once the links so found are joined to components, only members
-of different components are compared, and only those that 128 further one-bit minima leave within
-``FAR_BITS`` and whose set sizes allow the similarity. So a group of thousands of copies costs its
-size, not its square, and no connection is lost.
+member is compared with all others, which joins most of a group of copies to one component. Documents
+connected through entries form a candidate group; its documents outside the group's largest component
+are then counted against all its documents of other components, through an inverted index of their
+shingles inside the tasks. Tasks hold blocks of bounded size and emit a forest of the links, so a
+group of thousands of copies makes as many rows as it has members, and no connection is lost.
 
 Cases: null or blank text has an empty set and links with nothing. Fewer than five words: the whole
 sequence is one shingle. Rows that repeat a doc_id are one document where their sets are equal, and
@@ -36,16 +37,13 @@ from hangtally.llm.words import Memo
 
 WORDS, CHUNKS, CHUNK = 5, 12, 4
 SYMBOLS = CHUNKS * CHUNK
-#: One-bit minima kept for the second comparison, and the differing bits from which a pair is dropped there:
-#: at similarity 0.75 a mean of 16 and a deviation of 3.7, so 42 is seven deviations away.
-BITS, FAR_BITS = 128, 42
-#: Members of a leader that one task confirms.
-MEMBERS = 512
+#: Members of a leader that one task confirms; strays that a task holds, and documents that pass by them.
+MEMBERS, STRAYS, PASSING = 512, 512, 4096
 
 _U = np.uint64
 _rng = np.random.default_rng(20240501)
-_ODD = _rng.integers(0, 1 << 63, BITS, dtype=np.uint64) * _U(2) + _U(1)
-_FLIP = _rng.integers(0, 1 << 63, BITS, dtype=np.uint64)
+_ODD = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * _U(2) + _U(1)
+_FLIP = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
 _PLACE = (_rng.integers(0, 1 << 63, WORDS, dtype=np.uint64) * _U(2) + _U(1))
 
 
@@ -75,7 +73,7 @@ class Shingles:
 
 
 def minima(s: np.ndarray) -> np.ndarray:
-    low = np.full(BITS, ~_U(0))
+    low = np.full(SYMBOLS, ~_U(0))
     for at in range(0, len(s), 4096):
         low = np.minimum(low, ((s[None, at:at + 4096] ^ _FLIP[:, None]) * _ODD[:, None]).min(1))
     return mixed(low)
@@ -86,8 +84,8 @@ def set_digest(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of the set (null if empty), symbols (binary), two longs of one-bit minima."""
-    out = "doc_id bigint, n_shingles bigint, digest binary, symbols binary, bits0 bigint, bits1 bigint"
+    """Per row: doc_id, n_shingles, digest of the set and symbols of the signature (both null if it is empty)."""
+    out = "doc_id bigint, n_shingles bigint, digest binary, symbols binary"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,12 +95,10 @@ def signatures(docs: DataFrame) -> DataFrame:
             for text in b.column(1).cast(pa.binary()).to_pylist():
                 s = shingles(text)
                 if not len(s):
-                    rows.append((0, None, None, 0, 0))
+                    rows.append((0, None, None))
                     continue
-                m = minima(s)
-                bits = np.packbits((m >> _U(63)).astype(np.uint8)).view("<i8")
-                rows.append((len(s), set_digest(s), m[:SYMBOLS].astype(np.uint16).tobytes(), int(bits[0]), int(bits[1])))
-            yield batch(schema, b.column(0), *zip(*rows)) if rows else batch(schema, *[[]] * 6)
+                rows.append((len(s), set_digest(s), minima(s).astype(np.uint16).tobytes()))
+            yield batch(schema, b.column(0), *zip(*rows)) if rows else batch(schema, *[[]] * 4)
 
     return docs.select("doc_id", "text").mapInArrow(work, out)
 
@@ -127,15 +123,11 @@ def _entries(classes: DataFrame) -> DataFrame:
     return classes.select("node", "symbols").mapInArrow(work, out)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) of nodes whose full sets have 100 * intersection >= percent * union.
 
     Texts go to their pairs: a is sent once per slice of its partners and kept, the partners stream by.
     """
-    pairs = stored(pairs, "near-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    of = classes.join(nodes, "node").select("node", "doc_id", "digest")
-    texts = stored(docs.select("doc_id", "text").join(of, "doc_id").select("node", "digest", "text"), "near-texts")
     slices = pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {MEMBERS}) as bigint)").alias("slices"))
     member = (pairs.join(slices, "a").withColumn("slice", F.expr("pmod(xxhash64(b), slices)"))
               .join(texts, F.col("b") == F.col("node")).selectExpr("a", "slice", "1 as kind", "node", "digest", "text"))
@@ -161,11 +153,76 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
                         vs.append(node)
             yield batch(schema, us, vs)
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = member.union(leader).repartition(n, "a", "slice").sortWithinPartitions("a", "slice", "kind")
     return stored(dealt.mapInArrow(work, out).distinct(), "near-links")
 
 
+class Index:
+    """Inverted index of some sets, to count their intersections with another set."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        all_of = np.concatenate(sets)
+        by = np.argsort(all_of, kind="stable")
+        self.shingles, first = np.unique(all_of[by], return_index=True)
+        self.first = np.append(first, len(by))
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[by]
+
+    def shared(self, s: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.shingles, s)
+        at = at[self.shingles[np.minimum(at, len(self.shingles) - 1)] == s]
+        low, size = self.first[at], self.first[at + 1] - self.first[at]
+        places = np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+        return np.bincount(self.owner[places], minlength=len(self.sizes))
+
+
+def _strays(stars: DataFrame, parts: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between the components of one candidate group: enough of them to connect what is connected."""
+    groups = components(stars.selectExpr("a as u", "b as v"), "near-groups")
+    placed = groups.selectExpr("node", "component as grp").join(parts, "node", "left").selectExpr("node", "grp", "coalesce(component, node) as part")
+    sizes = placed.groupBy("grp", "part").agg(F.count("*").alias("n"))
+    main = (sizes.groupBy("grp").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+            .where("all > most").selectExpr("grp", "main", f"ceil((all - most) / {STRAYS}) as rows", f"ceil(all / {PASSING}) as columns"))
+    near = placed.join(main, "grp").join(texts, "node")
+    row, column = "pmod(xxhash64(node), rows)", "pmod(xxhash64(node, 1), columns)"
+    held = near.where("part <> main").selectExpr("grp", f"{row} as i", "explode(sequence(0L, columns - 1)) as j", "0 as kind", "node", "part", "digest", "text")
+    passing = near.selectExpr("grp", "explode(sequence(0L, rows - 1)) as i", f"{column} as j", "1 as kind", "node", "part", "digest", "text")
+    out = "u bigint, v bigint"
+    schema = to_arrow_schema(_parse_datatype_string(out))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, now, index = Shingles(), None, None
+        nodes, own, sets = [], [], []
+        for b in batches:
+            us, vs = [], []
+            for grp, i, j, kind, node, part, digest, text in zip(*(b.column(k).to_pylist() for k in range(7)), b.column(7).cast(pa.binary()).to_pylist()):
+                if (grp, i, j) != now:
+                    now, index, nodes, own, sets = (grp, i, j), None, [], [], []
+                s = shingles(text)
+                if set_digest(s) != digest:
+                    continue   # another text of a repeated doc_id
+                if kind == 0:
+                    nodes.append(node)
+                    own.append(part)
+                    sets.append(s)
+                    continue
+                if index is None:
+                    if not sets:
+                        continue
+                    index, places, part_of = Index(sets), np.array(nodes), np.array(own)
+                both = index.shared(s)
+                hit = (100 * both >= percent * (index.sizes + len(s) - both)) & (part_of != part)
+                for p in np.unique(part_of[hit]).tolist():   # one link to each component is enough
+                    us.append(int(places[hit & (part_of == p)].min()))
+                    vs.append(node)
+            yield batch(schema, us, vs)
+
+    n = int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = held.union(passing).repartition(n, "grp", "i", "j").sortWithinPartitions("grp", "i", "j", "kind", "node")
+    return stored(dealt.mapInArrow(work, out).distinct(), "near-more")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -173,25 +230,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     sigs = stored(signatures(docs), "near-signatures")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = (sigs.where("digest is not null and doc_id is not null").groupBy("digest")
-             .agg(F.min_by(F.struct("doc_id", "n_shingles", "symbols", "bits0", "bits1"), "doc_id").alias("s")).select("digest", "s.*"))
+             .agg(F.min_by(F.struct("doc_id", "symbols"), "doc_id").alias("s")).select("digest", "s.*"))
     # numbered in the order of doc_id, so the smallest node of a component is its smallest document
     classes = stored(first.repartitionByRange(n, "doc_id", "digest").sortWithinPartitions("doc_id", "digest")
                      .withColumn("node", F.monotonically_increasing_id()), "near-classes")
     entries = _entries(classes)
     heads = entries.groupBy("entry").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = stored(entries.join(heads, "entry"), "near-entries")
-    stars = shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = _confirmed(stars, classes, docs, percent)
-    parts = components(links, "near-parts")
-    # what is left: members of one entry that are not yet in one component
-    placed = (shared.join(parts, "node", "left").select("entry", "node", "head", F.coalesce("component", "node").alias("part")))
-    mixed_entries = placed.groupBy("entry").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("entry")
-    open_rows = (placed.join(mixed_entries, "entry").join(classes.select("node", "n_shingles", "bits0", "bits1"), "node"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    rest = x.join(y, F.expr(f"""x.entry = y.entry and x.node < y.node and x.part <> y.part and x.node <> x.head
-        and 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)
-        and bit_count(x.bits0 ^ y.bits0) + bit_count(x.bits1 ^ y.bits1) < {FAR_BITS}"""))
-    more = _confirmed(rest.selectExpr("x.node as a", "y.node as b").distinct(), classes, docs, percent)
+    stars = stored(entries.join(heads, "entry").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "near-stars")
+    nodes = classes.join(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "node").select("node", "doc_id", "digest")
+    texts = stored(docs.select("doc_id", "text").join(nodes, "doc_id").select("node", "digest", "text"), "near-texts")
+    links = _confirmed(stars, texts, percent)
+    more = _strays(stars, components(links, "near-parts"), texts, percent)
     whole = components(links.union(more), "near-whole")
     named = (classes.join(whole, "node", "left").withColumn("top", F.coalesce("component", "node")))
     tops = classes.select(F.col("node").alias("top"), F.col("doc_id").alias("component_doc"))
