@@ -275,13 +275,13 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     again = (found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
              .where("n > 1").selectExpr("anchor", "a <> b as several"))
     ranked = found.join(again, "anchor").withColumn("k", F.expr(
-        "row_number() over (partition by anchor, context order by doc, place)"))
+        "rank() over (partition by anchor, context order by doc, shiftright(place, 24))"))
     places = stored(ranked.select("anchor", "several", "doc", "place", F.expr("k = 1").alias("first"))
                     .where("several or not first"), "repeat-places")
     unpacked = ("cast(place & 65535 as int) as tag", "shiftright(place, 24) as start", "(shiftright(place, 16) & 255) as more")
     whole = (places.where("not first").selectExpr("doc", *unpacked)
              .selectExpr("doc", "tag", "start as low", f"start + more + {WINDOW} as high"))
-    wanted = places.where("first and several").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
+    wanted = places.where("first and several").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("wanted"))
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").join(wanted, "doc").select("doc", "text", "wanted.anchor", "wanted.place")
     out = "anchor bigint, doc bigint, tag int, start bigint, data binary"
     schema = to_arrow_schema(_parse_datatype_string(out))

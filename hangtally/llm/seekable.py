@@ -165,8 +165,8 @@ def write_ids(docs: DataFrame, path: str, end_id: int, files: int | None = None)
 def read_ids(manifest: DataFrame, wanted: DataFrame | None = None, slice_docs: int = 2000) -> DataFrame:
     """Rows (doc_id, start, ids) of the stored documents; ``start`` counts the ids of all documents before.
 
-    With ``wanted`` (a column doc_id), only those documents' frames are decompressed: the manifest's
-    ranges say which files can hold them, and the seek tables where.
+    With ``wanted`` (a column doc_id, nulls ignored), only those documents' frames are decompressed: the
+    manifest, one row per file, says which files can hold them, and the seek tables where.
     """
     # one row per file: a running sum over the files, not over documents
     files = manifest.selectExpr("*", "coalesce(sum(ids) over (order by first_doc nulls first, last_doc nulls first, file "
@@ -174,7 +174,7 @@ def read_ids(manifest: DataFrame, wanted: DataFrame | None = None, slice_docs: i
     slices = files.selectExpr("file", "base", f"explode(sequence(0, (docs - 1) div {slice_docs})) as part", "first_doc", "last_doc")
     if wanted is not None:
         ids = wanted.select("doc_id").distinct()
-        slices = (slices.join(ids, F.expr("doc_id between first_doc and last_doc"))
+        slices = (slices.join(ids, F.expr("doc_id <= last_doc and (first_doc is null or doc_id >= first_doc)"))
                   .groupBy("file", "base", "part").agg(F.collect_set("doc_id").alias("only")))
     else:
         slices = slices.selectExpr("file", "base", "part", "cast(null as array<bigint>) as only")
