@@ -107,9 +107,11 @@ MONTHS = ", ".join(f"COALESCE(SUM(CASE WHEN MONTH(sales_date) = {m} THEN qty END
 
 
 @query("monthly_sales_matrix", f"""
-    SELECT store_id, sku, {MONTHS} FROM sales_line WHERE YEAR(sales_date) = 1997 GROUP BY store_id, sku""")
+    SELECT store_id, sku, {MONTHS.replace('MONTH(sales_date)', 'MONTH(h.sales_date)')} FROM sales_line l JOIN sales_header h USING (doc_id)
+    WHERE YEAR(h.sales_date) = 1997 AND doc_no LIKE 'PJ%' AND status <> 'F' AND line_status <> 'F' GROUP BY store_id, sku""")
 def _(s):
-    return S.monthly_sales_wide(s.between("1997-01-01", "1997-12-31").sales_line, 1997)
+    headers = s.between("1997-01-01", "1997-12-31").sales_header
+    return S.monthly_sales_wide(S.documented_lines(headers, s.sales_line), 1997)
 
 
 @query("aging_min_max", """
@@ -230,7 +232,8 @@ def _(s):
 @query("sequence_fill", """
     WITH s AS (SELECT c_custkey AS cust_id, store_id FROM customer LEFT JOIN store ON cust_id = c_custkey)
     SELECT cust_id, store_id FROM s WHERE store_id IS NOT NULL
-    UNION ALL SELECT cust_id, 8999 + ROW_NUMBER() OVER (ORDER BY cust_id) FROM s WHERE store_id IS NULL""")
+    UNION ALL SELECT cust_id, COALESCE((SELECT MAX(store_id) FROM s WHERE store_id >= 9000), 8999) + ROW_NUMBER() OVER (ORDER BY cust_id)
+    FROM s WHERE store_id IS NULL""")
 def _(s):
     rows = s.raw("customer").select(F.col("c_custkey").alias("cust_id")).join(s.store.select("cust_id", "store_id"), "cust_id", "left")
     return N.sequence_fill(rows, "store_id", "cust_id", K.FIRST_SPARE_STORE_ID)

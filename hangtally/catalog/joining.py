@@ -212,12 +212,14 @@ def _(s):
 @query("right_join_keep_dim", """
     SELECT article, COALESCE(qty, 0) AS qty, COALESCE(first_date, DATE '2023-01-01') AS first_date
     FROM (SELECT article, SUM(qty) AS qty, MIN(sales_date) AS first_date FROM sales_line JOIN article USING (sku)
-          WHERE sales_date < DATE '1995-01-15' GROUP BY article) AS x
-    RIGHT JOIN (SELECT DISTINCT article FROM article) AS d USING (article)""", dates=["first_date"])
+          GROUP BY article) AS x
+    RIGHT JOIN (SELECT article FROM article UNION SELECT brand FROM article) AS d USING (article)""", dates=["first_date"])
 def _(s):
-    sold = (s.between(None, "1995-01-14").sales_line.groupBy("sku").agg(F.sum("qty").alias("qty"), F.min("sales_date").alias("d"))
+    sold = (s.sales_line.groupBy("sku").agg(F.sum("qty").alias("qty"), F.min("sales_date").alias("d"))
             .join(s.article, "sku").groupBy("article").agg(F.sum("qty").alias("qty"), F.min("d").alias("first_date")))
-    return (sold.join(s.article.select("article").distinct(), "article", "right")
+    # brands are planned articles without a sale
+    planned = s.article.select("article").union(s.article.select("brand")).distinct()
+    return (sold.join(planned, "article", "right")
             .fillna({"qty": 0.0}).withColumn("first_date", F.coalesce("first_date", X.day("2023-01-01"))))
 
 

@@ -48,9 +48,10 @@ def _(s):
 
 WITH_SALES = f"""
     raw_pivot AS (SELECT store_id, article, MAX(size_class) AS size_class, {cells('qty')},
-        SUM(CASE WHEN stat = 'penjualan' THEN -qty ELSE 0 END) AS sales_qty
-        FROM movement JOIN article USING (sku) WHERE move_date <= DATE '1995-12-31' GROUP BY store_id, article),
-    pivoted AS (SELECT *, {plus(K.ALL_SIZES)} AS sum_qty FROM raw_pivot),
+        SUM(CASE WHEN stat = 'penjualan' THEN -qty ELSE 0 END) AS sales_qty,
+        CAST(COALESCE(SUM(qty) FILTER (WHERE size IS NOT NULL), 0) AS BIGINT) AS sum_qty
+        FROM movement JOIN article USING (sku) GROUP BY store_id, article),
+    pivoted AS (SELECT * FROM raw_pivot),
     v2 AS (SELECT store_id, article, sum_qty, sales_qty, {status_sql(K.TOP_RUN_WITH_FREE, 2)} AS status FROM pivoted
            WHERE sum_qty <> 0 OR sales_qty <> 0)"""
 
@@ -58,7 +59,7 @@ WITH_SALES = f"""
 def status_v2(s):
     """Status with the free size counted, sales beside stock, rows without either left out."""
     from hangtally.plans.stock_reports import status_with_sales
-    return status_with_sales(s.between(None, "1995-12-31").movement.join(s.article, "sku"))
+    return status_with_sales(s.movement.join(s.article, "sku"))
 
 
 @query("size_run_status_v2", f"WITH {WITH_SALES} SELECT * FROM v2")
@@ -72,10 +73,9 @@ SALES_PIVOT = f"""
     pivoted AS (SELECT *, {plus(K.ALL_SIZES)} AS sum_qty FROM raw_pivot),
     bucket AS (SELECT store_id, article, category, {plus(K.SMALL_SIZES)} AS size_small, {plus(K.MEDIUM_SIZES)} AS size_medium,
                       {plus(K.LARGE_SIZES)} AS size_large FROM pivoted)"""
-DOMINANT = """CASE WHEN size_small = size_medium AND size_medium = size_large THEN 'ksb'
-    WHEN size_small = size_medium AND size_small > size_large THEN 'ks' WHEN size_small = size_large AND size_small > size_medium THEN 'kb'
-    WHEN size_medium = size_large AND size_medium > size_small THEN 'sb' WHEN size_small > size_medium AND size_small > size_large THEN 'k'
-    WHEN size_medium > size_small AND size_medium > size_large THEN 's' ELSE 'b' END"""
+DOMINANT = """CASE WHEN size_small = GREATEST(size_small, size_medium, size_large) THEN 'k' ELSE '' END
+    || CASE WHEN size_medium = GREATEST(size_small, size_medium, size_large) THEN 's' ELSE '' END
+    || CASE WHEN size_large = GREATEST(size_small, size_medium, size_large) THEN 'b' ELSE '' END"""
 
 
 def season_sales(s):

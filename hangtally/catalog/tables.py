@@ -102,7 +102,7 @@ def stored_lines(s):
 
 @query("incremental_extract", f"""
     WITH {OPEN_LINES}
-    SELECT * FROM open_line WHERE input_date > (SELECT MAX(input_date) FROM all_line)""", dates=["input_date"])
+    SELECT * FROM open_line WHERE input_date >= (SELECT MAX(input_date) FROM all_line)""", dates=["input_date"])
 def _(s):
     return O.newer_than_mark(open_lines(s), stored_lines(s), "input_date")
 
@@ -115,10 +115,11 @@ def _(s):
 
 
 @query("incremental_outstanding", f"""
-    WITH {OPEN_LINES}
-    SELECT * FROM all_line WHERE pk_id IN (SELECT pk_id FROM open_line)
+    WITH {OPEN_LINES},
+    fresh AS (SELECT * FROM open_line WHERE input_date >= (SELECT MAX(input_date) FROM all_line))
+    SELECT * FROM all_line WHERE pk_id IN (SELECT pk_id FROM open_line) AND pk_id NOT IN (SELECT pk_id FROM fresh)
     UNION ALL
-    SELECT * FROM open_line WHERE input_date > (SELECT MAX(input_date) FROM all_line)""", dates=["input_date"])
+    SELECT * FROM fresh""", dates=["input_date"])
 def _(s):
     return O.refresh_outstanding(open_lines(s), stored_lines(s), "pk_id", "input_date")
 

@@ -13,64 +13,66 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _limits(facts: DataFrame, date: str, since: str | None, until: str | None) -> tuple[Column, Column]:
-    """First and last fact date: the caller's, else read from the facts."""
-    if since and until:
-        return F.lit(since).cast("date"), F.lit(until).cast("date")
-    span = facts.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("span")).scalar()
-    return span.getField("lo"), span.getField("hi")
+def _dated(facts: DataFrame, spans: DataFrame, keys: Sequence[str], fact_date: str, out: str) -> DataFrame:
+    """Facts with ``out`` of the one span (``_from``, ``_to``) of their key that holds their date.
+
+    Spans of a key are disjoint; a null end is open.  Closed spans are spread over the months
+    they touch, so a fact meets at most the spans of its own key and month; open ones (two per
+    key at most) are met by key.  Facts are read once, and no date range is assumed.
+    """
+    def matched(left: DataFrame, right: DataFrame, name: str, *more: Column) -> DataFrame:
+        r = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         *[c for c in ("_rm", "_from", "_to") if c in right.columns], F.col(out).alias(name))
+        cond = (F.coalesce(F.col(fact_date) >= F.col("_from"), F.lit(True))
+                & F.coalesce(F.col(fact_date) <= F.col("_to"), F.lit(True)) & F.col(fact_date).isNotNull())
+        for i, k in enumerate(keys):
+            cond = cond & (F.col(k) == F.col(f"_k{i}"))
+        for m in more:
+            cond = cond & m
+        return left.join(r, cond, "left").select(*left.columns, name)
+
+    closed = F.col("_from").isNotNull() & F.col("_to").isNotNull()
+    monthly = spans.where(closed).withColumn("_rm", F.explode(F.sequence(
+        F.trunc("_from", "MM"), F.trunc("_to", "MM"), F.expr("interval 1 month"))))
+    got = matched(facts.withColumn("_m", F.trunc(fact_date, "MM")), monthly, "_closed", F.col("_m") == F.col("_rm"))
+    got = matched(got, spans.where(~closed), "_open")
+    return got.withColumn(out, F.coalesce("_closed", "_open")).select(*facts.columns, out)
 
 
 def asof_join(facts: DataFrame, rates: DataFrame, keys: Sequence[str], fact_date: str,
-              rate_date: str, value: str, out: str, since: str | None = None,
-              until: str | None = None) -> DataFrame:
+              rate_date: str, value: str, out: str) -> DataFrame:
     """Latest ``value`` with ``rate_date <= fact_date`` per key; null if there is none.
 
-    All preparation is on the rates: one per key and day (the lowest value), valid until
-    the next one, cut to the fact dates' range and spread over the months it touches.  The
-    facts are read once and meet at most the rates of their own key and month, of which
-    exactly one can match; if the prepared rates are small, Spark broadcasts them and the
-    facts are not shuffled.
+    All preparation is on the rates: one per key and day (the lowest value), valid until the
+    next one, the last without end.
     """
     keys = list(keys)
-    lo, hi = _limits(facts, fact_date, since, until)
-    daily = rates.groupBy(*keys, F.col(rate_date).alias("_from")).agg(F.min(value).alias(out))
+    daily = (rates.where(F.col(rate_date).isNotNull())
+             .groupBy(*keys, F.col(rate_date).alias("_from")).agg(F.min(value).alias(out)))
     follows = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
-    spans = (daily.withColumn("_to", F.least(F.coalesce(F.date_sub(follows, 1), hi), hi))
-             .withColumn("_from", F.greatest("_from", lo)).where("_from <= _to")
-             .withColumn("_m", F.explode(F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"),
-                                                    F.expr("interval 1 month")))))
-    left = facts.withColumn("_m", F.trunc(fact_date, "MM")).alias("f")
-    right = spans.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                         F.col("_m").alias("_rm"), "_from", "_to", out).alias("r")
-    match = F.col("_m") == F.col("_rm")
-    for i, k in enumerate(keys):
-        match = match & (F.col(f"f.{k}") == F.col(f"_k{i}"))
-    match = match & F.col(f"f.{fact_date}").between(F.col("_from"), F.col("_to"))
-    return left.join(right, match, "left").select("f.*", f"r.{out}").drop("_m")
+    return _dated(facts, daily.withColumn("_to", F.date_sub(follows, 1)), keys, fact_date, out)
 
 
 def interval_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], fact_date: str,
-                  begin: str, end: str, value: str, out: str, since: str | None = None,
-                  until: str | None = None) -> DataFrame:
-    """``value`` of the band with ``begin <= fact_date <= end`` per key.
+                  begin: str, end: str, value: str, out: str) -> DataFrame:
+    """``value`` of the band with ``begin <= fact_date <= end`` per key; a null limit is open.
 
     If bands overlap, the latest begin wins, then the lowest value.  The overlap is settled
-    on the bands: each is laid out by day inside the fact dates' range and the latest begin
-    of a day is kept.  The facts are read once and join on key and date.
+    on the bands: their edges cut each key's time into disjoint spans, and each span takes the
+    band that wins there.  A group is one key's bands, not its facts.
     """
     keys = list(keys)
-    lo, hi = _limits(facts, fact_date, since, until)
-    # per key and begin day and end day the lowest value; per day the greatest begin
-    one = (bands.groupBy(*keys, F.col(begin).alias("_b"), F.col(end).alias("_e"))
-           .agg(F.min(value).alias("_v"))
-           .withColumn("_from", F.greatest("_b", lo)).withColumn("_to", F.least("_e", hi))
-           .where("_from <= _to"))
-    days = one.withColumn(fact_date, F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))))
-    best = (days.groupBy(*keys, fact_date)
-            .agg(F.max(F.struct(F.col("_b"), (-F.col("_v")).alias("_nv"))).alias("_best"))
-            .select(*keys, fact_date, (-F.col("_best._nv")).alias(out)))
-    return facts.join(best, [*keys, fact_date], "left")
+    low, high = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")   # stand for open limits
+    of_key = (bands.select(*keys, F.coalesce(begin, low).alias("b"), F.coalesce(end, high).alias("e"), F.col(value).alias("v"))
+              .where("b <= e").groupBy(*keys).agg(F.collect_set(F.struct("b", "e", "v")).alias("_bands")))
+    edges = F.expr("array_sort(array_distinct(concat(transform(_bands, x -> x.b), "
+                   "transform(filter(_bands, x -> x.e < date'9999-12-31'), x -> date_add(x.e, 1)))))")
+    best = F.expr("transform(_edges, (d, i) -> struct(d as _from, coalesce(date_sub(get(_edges, i + 1), 1), date'9999-12-31') as _to, "
+                  "array_max(transform(filter(_bands, x -> x.b <= d and x.e >= d), x -> struct(x.b as b, -x.v as nv))) as _best))")
+    spans = (of_key.withColumn("_edges", edges).select(*keys, F.inline(best)).where("_best is not null")
+             .select(*keys, F.when(F.col("_from") > low, F.col("_from")).alias("_from"),
+                     F.when(F.col("_to") < high, F.col("_to")).alias("_to"), (-F.col("_best.nv")).alias(out)))
+    return _dated(facts, spans, keys, fact_date, out)
 
 
 def null_safe_anti(new: DataFrame, old: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -43,9 +43,11 @@ def running_suffix(df: DataFrame, code: str, unique_id: str, out: str) -> DataFr
 
 
 def sequence_fill(df: DataFrame, target: str, order_id: str, start: int) -> DataFrame:
-    """Fill null ids with start, start + 1, ... in the order of ``order_id``."""
+    """Fill null ids in the order of ``order_id``: start, start + 1, ..., or after the greatest
+    used id where ids from start on are already used."""
     numbered = number_rows(df.withColumn("_gap", F.col(target).isNull()), ["_gap"], order_id, "_n")
-    spare = (F.col("_n") + (start - 1)).cast(df.schema[target].dataType)
+    used = df.where(F.col(target) >= start).agg(F.max(target)).scalar()
+    spare = (F.col("_n") + F.coalesce(used, F.lit(start - 1))).cast(df.schema[target].dataType)
     return (numbered.withColumn(target, F.when(F.col("_gap"), spare).otherwise(F.col(target)))
             .select(*df.columns))
 

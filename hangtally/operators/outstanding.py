@@ -57,9 +57,13 @@ def high_water_mark(df: DataFrame, column: str) -> DataFrame:
 
 
 def newer_than_mark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Source rows entered after the newest row of the target (all rows if it is empty)."""
+    """Source rows entered at or after the newest row of the target (all rows if it is empty).
+
+    The mark may be a day on which more was entered after the last run, so rows on the mark come
+    again; the upsert that follows writes them once.
+    """
     mark = target.agg(F.max(column).alias("m")).scalar()
-    return source.where((F.col(column) > mark) | mark.isNull())
+    return source.where((F.col(column) >= mark) | mark.isNull())
 
 
 def stale_keys(source: DataFrame, target: DataFrame, key: str, column: str) -> DataFrame:

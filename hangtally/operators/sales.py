@@ -43,6 +43,11 @@ def add_second_discount(lines: DataFrame, allocation: DataFrame, parts: Sequence
     return out.withColumn("total_disc2", F.col(parts[0]) * F.col("qty"))
 
 
+def units_of(lines: DataFrame, documents: DataFrame) -> DataFrame:
+    """Quantity of the given documents; lines of others are dropped before they are summed."""
+    return lines.join(documents.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.sum("qty").alias("doc_qty"))
+
+
 def discount_allocation(cuts: DataFrame, charges: DataFrame, lines: DataFrame) -> DataFrame:
     """Per-unit share of document-level cuts and online charges, keyed by document.
 
@@ -52,7 +57,7 @@ def discount_allocation(cuts: DataFrame, charges: DataFrame, lines: DataFrame) -
     both = cuts.unionByName(charges, allowMissingColumns=True)
     summed = both.groupBy("doc_id").agg(*[F.coalesce(F.sum(money(p)).cast("double"), F.lit(0.0)).alias(p)
                                           for p in parts])
-    units = lines.groupBy("doc_id").agg(F.sum("qty").alias("doc_qty"))
+    units = units_of(lines, summed)
     out = summed.join(units, "doc_id", "left").fillna(0.0, subset=["doc_qty"])
     per_unit = {f"unit_{p}": round_even(ratio(p, "doc_qty"), 2) for p in parts[:-1]}
     per_unit["unit_voucher"] = ratio("voucher", "doc_qty")
@@ -61,15 +66,15 @@ def discount_allocation(cuts: DataFrame, charges: DataFrame, lines: DataFrame) -
 
 def unit_cut_up(cuts: DataFrame, lines: DataFrame, cut: str, out: str) -> DataFrame:
     """Document cut per unit, rounded up; 0 where the document has no quantity."""
-    units = lines.groupBy("doc_id").agg(F.sum("qty").alias("doc_qty"))
-    return (cuts.where(F.col(cut) != 0).join(units, "doc_id", "left")
+    cuts = cuts.where(F.col(cut) != 0)
+    return (cuts.join(units_of(lines, cuts), "doc_id", "left")
             .withColumn(out, F.ceil(ratio(cut, "doc_qty")).cast("double")))
 
 
 def invoice_discount(headers: DataFrame, lines: DataFrame) -> DataFrame:
     """Invoice header discount per unit where it differs from its lines' total, except where
     the lines exceed it by more than 1."""
-    by_line = lines.groupBy("doc_id").agg(money_sum("line_disc").alias("lines_disc"))
+    by_line = lines.join(headers.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(money_sum("line_disc").alias("lines_disc"))
     return (headers.join(by_line, "doc_id")
             .where((F.col("total_disc") != F.col("lines_disc"))
                    & ~((F.col("lines_disc") - F.col("total_disc")) > 1))
@@ -88,16 +93,14 @@ def store_modal_margin(rates: DataFrame, store: str = "cust_id") -> DataFrame:
     return modal_value(current, [store], "margin", "modal_margin")
 
 
-def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id",
-                   since: str | None = None, until: str | None = None) -> DataFrame:
+def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id") -> DataFrame:
     """Margin by dated band, else by effective date, else the store's usual margin.
 
     Status tells whether a margin was found before the fallback.
     """
     out = interval_join(lines, bands, [store, "category_id", "mark_id"], "sales_date",
-                        "begin_date", "end_date", "margin", "_band", since, until)
-    out = asof_join(out, rates, [store, "mark_id"], "sales_date", "effective_date", "margin", "_asof",
-                    since, until)
+                        "begin_date", "end_date", "margin", "_band")
+    out = asof_join(out, rates, [store, "mark_id"], "sales_date", "effective_date", "margin", "_asof")
     found = F.coalesce("_band", "_asof", F.lit(0))
     out = (out.withColumn("_found", found).drop("_band", "_asof")
            .join(store_modal_margin(rates, store), store, "left"))
@@ -112,6 +115,12 @@ def add_net_amounts(df: DataFrame, gross: str, disc2: str, margin: str, status:
     return out.withColumns({"dpp": before_tax("net_amount"), "dpp2": before_tax("sim_amount")})
 
 
+def documented_lines(headers: DataFrame, lines: DataFrame, prefix: str = "PJ") -> DataFrame:
+    """Lines without void ones, of documents of the prefix that are not void, dated by the document."""
+    valid = headers.where(F.col("doc_no").startswith(prefix) & (F.col("status") != K.VOID)).select("doc_id", "sales_date")
+    return lines.where(F.col("line_status") != K.VOID).drop("sales_date").join(valid, "doc_id")
+
+
 def monthly_sales_wide(lines: DataFrame, year: int) -> DataFrame:
     """Quantity per store and SKU in each month, one scan for all months."""
     cells = [F.expr(f"coalesce(sum(case when month(sales_date) = {m} then qty end), 0D) as qty_{m:02d}")

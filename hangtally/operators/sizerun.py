@@ -11,36 +11,43 @@ from pyspark.sql.window import Window
 from hangtally import constants as K
 
 
-CLASS_CODES = {"BOTTOM": 1, "TOP": 2}
+# the greatest of several classes wins: TOP, then BOTTOM, then any other
+CLASS_CODES = {"BOTTOM": 2 ** 62, "TOP": 2 ** 62 + 1}
+CLASS_BYTES = 7
 
 
 def class_code(size_class: Column) -> Column:
     """The size class as a number.  A text cannot be kept in a hash aggregate's buffer (the
-    whole input would be sorted instead), a number can."""
-    return F.when(size_class == "TOP", CLASS_CODES["TOP"]).when(size_class == "BOTTOM", CLASS_CODES["BOTTOM"])
+    whole input would be sorted instead), a number can.  Other classes are packed by their bytes;
+    one that does not fit is an error, not a null."""
+    packed = F.conv(F.hex(size_class), 16, 10).cast("long")
+    too_long = F.raise_error(F.concat(F.lit("size class is too long: "), size_class)).cast("long")
+    return (F.when(size_class == "TOP", CLASS_CODES["TOP"]).when(size_class == "BOTTOM", CLASS_CODES["BOTTOM"])
+            .when(F.octet_length(size_class) <= CLASS_BYTES, packed).when(size_class.isNotNull(), too_long))
 
 
 def class_name(code: Column) -> Column:
-    return F.when(code == CLASS_CODES["TOP"], "TOP").when(code == CLASS_CODES["BOTTOM"], "BOTTOM")
+    return F.when(code == CLASS_CODES["TOP"], "TOP").when(code == CLASS_CODES["BOTTOM"], "BOTTOM").otherwise(F.unhex(F.hex(code)).cast("string"))
 
 
-def size_cells(value: str, size: str = "size") -> list[Column]:
-    """One zero-filled sum per known size and their total; the list is fixed, so one shuffle
+def size_cells(value: str, size: str = "size", every_size: bool = False) -> list[Column]:
+    """One zero-filled sum per known size and their total (or that of every size that occurs); the list is fixed, so one shuffle
     is enough.  The total is an aggregate of its own, not a sum of 28 columns."""
     known = ", ".join(f"'{s}'" for s in K.ALL_SIZES)
-    cells = {s: f"{size} = '{s}'" for s in K.ALL_SIZES} | {"sum_qty": f"{size} in ({known})"}
+    cells = {s: f"{size} = '{s}'" for s in K.ALL_SIZES} | {"sum_qty": f"{size} is not null" if every_size else f"{size} in ({known})"}
     return [F.expr(f"cast(coalesce(sum(case when {test} then {value} end), 0) as bigint) as `{name}`")
             for name, test in cells.items()]
 
 
 def size_pivot(df: DataFrame, keys: Sequence[str], value: str, size: str = "size",
-               size_class: str | None = "size_class", extra: Sequence[Column] = ()) -> DataFrame:
+               size_class: str | None = "size_class", extra: Sequence[Column] = (),
+               every_size: bool = False) -> DataFrame:
     """One column per known size, their sum as ``sum_qty``, and the size class of the key.
 
     The class is an attribute of the key; if rows disagree, TOP wins, so the pivot never
     grows rows.  ``extra`` aggregates ride along in the same shuffle.
     """
-    aggs = [*size_cells(f"`{value}`", size), *extra]
+    aggs = [*size_cells(f"`{value}`", size, every_size), *extra]
     if size_class:
         aggs.append(F.max(class_code(F.col(size_class))).alias("_class"))
     wide = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs)

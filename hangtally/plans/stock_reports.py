@@ -58,11 +58,11 @@ def report_total(last: DataFrame, this: DataFrame, warehouse: DataFrame, article
 
 def status_with_sales(rows: DataFrame) -> DataFrame:
     """Stock by size, sales beside it and the status in which the free size counts; articles
-    without stock and sales are left out.  Sales ride along in the pivot's own shuffle."""
+    without stock (of any size) and sales are left out.  Sales ride along in the pivot's own shuffle."""
     from hangtally import constants as K
     sold = F.when(F.col("stat") == K.SALE, -F.col("qty")).otherwise(F.lit(0.0))
     keys = ["store_id", "article"]
-    wide = G.size_pivot(rows, keys, "qty", extra=[F.sum(sold).alias("sales_qty")])
+    wide = G.size_pivot(rows, keys, "qty", extra=[F.sum(sold).alias("sales_qty")], every_size=True)
     out = G.run_status(wide, top=K.TOP_RUN_WITH_FREE, top_min=K.TOP_RUN_MIN_WITH_FREE)
     return out.where("sum_qty <> 0 or sales_qty <> 0").select(*keys, "sum_qty", "sales_qty", "status")
 

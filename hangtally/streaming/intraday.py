@@ -46,8 +46,9 @@ def current_lines(spark: SparkSession, lines_path: str, day: str | None = None)
     df = spark.read.option("basePath", lines_path).parquet(f"{lines_path}/batch_id=*")
     if day is not None:
         df = df.where(F.col("input_day") == F.lit(day).cast("date"))
-    rest = [c for c in LINE_COLUMNS if c != "line_id"]
-    newest = F.max(F.struct("batch_id", "input_day", *rest)).alias("_l")
+    rest = [c for c in LINE_COLUMNS if c not in ("line_id", "input_ts")]
+    # the time of input decides, so the result does not depend on how files fell into batches
+    newest = F.max(F.struct("input_ts", "batch_id", "input_day", *rest)).alias("_l")
     return df.groupBy("line_id").agg(newest).select("line_id", "_l.*").drop("batch_id")
 
 

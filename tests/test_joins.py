@@ -52,10 +52,18 @@ def test_asof_edges(spark):
     check_asof(spark, facts, rates)
 
 
-def test_asof_known_limits(spark):
+def test_asof_rates_far_outside_the_facts(spark):
     facts = [(i, i % 3, d(i)) for i in range(60)]
     rates = [(k, d(n), n + k) for k in range(3) for n in (-100, 5, 31, 59, 61, 400)]
-    check_asof(spark, facts, rates, since=str(d(0)), until=str(d(59)))
+    check_asof(spark, facts, rates)
+
+
+def test_open_bands(spark):
+    facts = [(i, 1, d(n)) for i, n in enumerate((-3000, -1, 0, 5, 9, 10, 99, 30000))]
+    bands = [(1, None, d(5), 3), (1, d(0), d(9), 4), (1, d(99), None, 5)]
+    f, b = frames(spark, facts, bands, "k int, b date, e date, v int")
+    got = sorted((x.id, x.margin) for x in J.interval_join(f, b, ["k"], "day", "b", "e", "v", "margin").collect())
+    assert got == [(0, 3), (1, 3), (2, 4), (3, 4), (4, 4), (5, None), (6, 5), (7, 5)]
 
 
 def test_band_edges(spark):

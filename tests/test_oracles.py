@@ -22,6 +22,6 @@ def test_every_query_has_sql_or_is_a_model():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     problems = compare(spark, duck, FOLDER, name, QUERIES[name], ORACLES.get(name))
-    if problems == ["no rows"] and name in ORACLES:   # both sides are empty on so little data
+    if problems == ["no rows"] and name in MAY_BE_EMPTY:   # both sides are empty on so little data
         problems = []
     assert not problems

