@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from hangtally.llm.common import batch, prepare, stored
-from hangtally.llm.words import Memo, Splitter
+from hangtally.llm.words import Memo, Splitter, byte_letters
 from hangtally.session import scratch_path
 
 INDEX_MAGIC, TABLE_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1   # fixed values of the format
@@ -103,8 +103,9 @@ class LibraryWords:
 
     def __init__(self, path: str):
         self.splitter = Splitter(path)
-        encode = self.splitter.tokenizer.encode
-        self._known = Memo(lambda w: np.array(encode(w, add_special_tokens=False).ids, "<u4").tobytes(), 500_000)
+        # a word has been through the normaliser and pre-tokenizer already, so it goes to the library's model
+        tokenize, letters = self.splitter.tokenizer.model.tokenize, [byte_letters()[b] for b in range(256)]
+        self._known = Memo(lambda w: np.array([t.id for t in tokenize("".join(map(letters.__getitem__, w.encode())))], "<u4").tobytes(), 500_000)
         self._special = {s: np.array([i], "<u4").tobytes() for s, i in self.splitter.special.items()}
 
     def encode(self, text: str) -> bytes:
