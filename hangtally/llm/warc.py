@@ -3,7 +3,7 @@
 Each page is an HTTP response whose body is framed in chunks (chunked transfer encoding). A
 block longer than ``SEGMENT`` bytes is cut into a first record and continuation records, which carry
 the first record's id (WARC-Segment-Origin-ID), their number, and the last one the total length.
-Segments are dealt over files by hash, so a record's segments lie in several files. Pages whose payload
+A task deals a record's segments over its open files in turn, so they lie in several files. Pages whose payload
 equals that of a smaller page_id are written as revisit records without a body.
 
 The reader scans files record by record, groups records by origin id, orders them by segment number,
@@ -39,6 +39,8 @@ from hangtally.session import scratch_path
 
 #: Bytes of a block from which it is segmented, bytes of a transfer chunk, bytes of a file from which a new one is begun.
 SEGMENT, CHUNK, FILE_BYTES = 16_384, 4_096, 128 << 20
+#: Files that a task has open at once.
+FILES = 2
 MANIFEST = "file string, bytes bigint, records bigint"
 RECORD = ("record_id string, record_type string, page_id bigint, uri string, digest string, refers_to bigint, "
           "segment int, origin string, total bigint, length bigint, block binary")
@@ -151,6 +153,8 @@ def planned(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     narrow = rows.where(f"page_id is not null and octet_length(payload) >= {least_bytes}").select("page_id", "hex")
     first = narrow.groupBy("hex").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first < last").drop("last")
     later = narrow.join(first, "hex").where("page_id > first").select(F.col("page_id").alias("_p"), F.col("hex").alias("_h"), F.col("first").alias("refers_to")).distinct()
+    # stored first: with its size known, Spark sends few revisits to the pages instead of shuffling the pages
+    later = stored(later, "warc-revisits")
     joined = rows.join(later, (F.col("page_id") == F.col("_p")) & (F.col("hex") == F.col("_h")), "left").drop("_p", "_h")
     return joined
 
@@ -160,54 +164,53 @@ def write(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     prepare(spark)
     folder = scratch_path(spark, "warc")
-    record_schema = to_arrow_schema(_parse_datatype_string(RECORD))
     schema = to_arrow_schema(_parse_datatype_string(MANIFEST))
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 100):
-                made = []
-                for page, uri, payload, refers in zip(*(c.to_pylist() for c in b.slice(at, 100).columns)):
-                    own = uuid.uuid4().urn
-                    base = {"page_id": page, "uri": uri, "digest": base32_sha1(payload), "refers_to": refers, "length": len(payload)}
-                    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                    if refers is not None:
-                        made.append(base | {"record_id": own, "record_type": "revisit", "segment": 0, "origin": own, "total": None, "block": head + b"\r\n"})
-                        continue
-                    block = head + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
-                    cuts = range(0, len(block), SEGMENT)
-                    for k, i in enumerate(cuts):
-                        several = len(cuts) > 1
-                        made.append(base | {"record_id": own if k == 0 else uuid.uuid4().urn, "record_type": "response" if k == 0 else "continuation",
-                                            "segment": k + 1 if several else 0, "origin": own, "total": len(block) if several and k == len(cuts) - 1 else None,
-                                            "block": block[i:i + SEGMENT]})
-                yield pa.RecordBatch.from_pylist(made, record_schema)
-
-    # record ids are random, so the records are stored before they are dealt: a task that runs again must not name them anew
-    made = stored(planned(pages, least_bytes).select("page_id", "url", "payload", "refers_to").mapInArrow(records, RECORD), "warc-records")
+    def records(page, uri, payload: bytes, refers) -> list[dict]:
+        own = uuid.uuid4().urn
+        base = {"page_id": page, "uri": uri, "digest": base32_sha1(payload), "refers_to": refers, "length": len(payload)}
+        head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+        if refers is not None:
+            return [base | {"record_id": own, "record_type": "revisit", "segment": 0, "origin": own, "total": None, "block": head + b"\r\n"}]
+        block = head + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
+        cuts = range(0, len(block), SEGMENT)
+        several = len(cuts) > 1
+        return [base | {"record_id": own if k == 0 else uuid.uuid4().urn, "record_type": "response" if k == 0 else "continuation",
+                        "segment": k + 1 if several else 0, "origin": own, "total": len(block) if several and k == len(cuts) - 1 else None,
+                        "block": block[i:i + SEGMENT]} for k, i in enumerate(cuts)]
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
-        out, done = None, []
-        for b in batches:
-            for row in b.to_pylist():
-                if out is None:
-                    fs.create_dir(base, recursive=True)
-                    name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                data = gzip.compress(record_bytes(row), compresslevel=1, mtime=0)
-                out.write(data)
-                size, count = size + len(data), count + 1
-                if size >= FILE_BYTES:
-                    out.close()
-                    out = None
-                    done.append((f"{folder}/{name}", size, count))
-        if out is not None:
+        fs.create_dir(base, recursive=True)
+        open_files: list = [None] * FILES
+        done = []
+
+        def close(k):
+            name, out, size, count = open_files[k]
             out.close()
             done.append((f"{folder}/{name}", size, count))
+            open_files[k] = None
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                for n, record in enumerate(records(*row)):
+                    k = n % FILES
+                    if open_files[k] is None:
+                        name = f"{uuid.uuid4().hex}.warc.gz"
+                        open_files[k] = [name, fs.open_output_stream(f"{base}/{name}", compression=None), 0, 0]
+                    data = gzip.compress(record_bytes(record), compresslevel=1, mtime=0)
+                    open_files[k][1].write(data)
+                    open_files[k][2] += len(data)
+                    open_files[k][3] += 1
+                    if open_files[k][2] >= FILE_BYTES:
+                        close(k)
+        for k in range(FILES):
+            if open_files[k] is not None:
+                close(k)
         yield batch(schema, *(zip(*done) if done else [[]] * 3))
 
-    return stored(made.repartition(F.col("record_id")).mapInArrow(files, MANIFEST), "warc-manifest")
+    # record ids and file names are random: a task that runs again writes new files, and the manifest names only one run's
+    return stored(planned(pages, least_bytes).select("page_id", "url", "payload", "refers_to").mapInArrow(files, MANIFEST), "warc-manifest")
 
 
 def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
