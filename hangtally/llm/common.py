@@ -54,13 +54,15 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of edges (u, v: long): rows (node, component), component the smallest node.
 
     Alternating large-star and small-star steps: every step keeps the components and shortens the
-    paths, until each node hangs on the smallest one. Sums and joins only; the edges of each round
-    are written to the shared folder. Self loops are dropped, nulls too; no edges give no rows.
+    paths, until no node hangs on two others or on one that hangs itself; then each hangs on the
+    smallest one. Sums and joins only; the edges of each round are written to the shared folder.
+    Self loops are dropped, nulls too; no edges give no rows. ``edges`` is read more than once, so
+    it should be a stored table.
     """
-    e = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), label)
-    mark = None
-    while True:
-        both = e.union(e.select("v", "u"))
+    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+    unsettled = 1
+    while unsettled:
+        both = e.select(F.inline(F.expr("array(struct(u, v), struct(v as u, u as v))")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -68,10 +70,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         # the node itself hangs on its smallest neighbour as well
         small = small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         e = stored(small, label)
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == mark:
-            break
-        mark = now
-    top = e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+        ends = e.select(F.inline(F.expr("array(struct(u as node, 1 as hangs, 0 as holds), struct(v as node, 0 as hangs, 1 as holds))")))
+        places = ends.groupBy("node").agg((F.sum("hangs") + F.max("holds")).alias("n"))
+        unsettled = places.where("n > 1").agg(F.count("*")).first()[0]
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return stored(top.union(roots), label)
+    return stored(e.selectExpr("u as node", "v as component").union(roots), label)

@@ -178,7 +178,7 @@ class Index:
 
 
 def _strays(stars: DataFrame, parts: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between the components of one candidate group: enough of them to connect what is connected."""
+    """Pairs (u, v) of linked components, named by their smallest nodes: enough of them to connect what is connected."""
     groups = components(stars.selectExpr("a as u", "b as v"), "near-groups")
     placed = groups.selectExpr("node", "component as grp").join(parts, "node", "left").selectExpr("node", "grp", "coalesce(component, node) as part")
     sizes = placed.groupBy("grp", "part").agg(F.count("*").alias("n"))
@@ -193,29 +193,28 @@ def _strays(stars: DataFrame, parts: DataFrame, texts: DataFrame, percent: int)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, now, index = Shingles(), None, None
-        nodes, own, sets = [], [], []
+        own, sets = [], []
         for b in batches:
             us, vs = [], []
             for grp, i, j, kind, node, part, digest, text in zip(*(b.column(k).to_pylist() for k in range(7)), b.column(7).cast(pa.binary()).to_pylist()):
                 if (grp, i, j) != now:
-                    now, index, nodes, own, sets = (grp, i, j), None, [], [], []
+                    now, index, own, sets = (grp, i, j), None, [], []
                 s = shingles(text)
                 if set_digest(s) != digest:
                     continue   # another text of a repeated doc_id
                 if kind == 0:
-                    nodes.append(node)
                     own.append(part)
                     sets.append(s)
                     continue
                 if index is None:
                     if not sets:
                         continue
-                    index, places, part_of = Index(sets), np.array(nodes), np.array(own)
+                    index, part_of = Index(sets), np.array(own)
                 both = index.shared(s)
                 hit = (100 * both >= percent * (index.sizes + len(s) - both)) & (part_of != part)
                 for p in np.unique(part_of[hit]).tolist():   # one link to each component is enough
-                    us.append(int(places[hit & (part_of == p)].min()))
-                    vs.append(node)
+                    us.append(p)
+                    vs.append(part)
             yield batch(schema, us, vs)
 
     n = int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -240,9 +239,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     nodes = classes.join(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "node").select("node", "doc_id", "digest")
     texts = stored(docs.select("doc_id", "text").join(nodes, "doc_id").select("node", "digest", "text"), "near-texts")
     links = _confirmed(stars, texts, percent)
-    more = _strays(stars, components(links, "near-parts"), texts, percent)
-    whole = components(links.union(more), "near-whole")
-    named = (classes.join(whole, "node", "left").withColumn("top", F.coalesce("component", "node")))
+    parts = components(links, "near-parts")
+    whole = components(_strays(stars, parts, texts, percent), "near-whole").selectExpr("node as part", "component as top")   # parts that belong together
+    named = (classes.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+             .join(whole, "part", "left").withColumn("top", F.coalesce("top", "part")))
     tops = classes.select(F.col("node").alias("top"), F.col("doc_id").alias("component_doc"))
     named = named.join(tops, "top").select("digest", "component_doc")
     out = sigs.join(named, "digest", "left")
