@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Rows that an id range holds on average.
 SPAN = 100_000
 
 
@@ -15,11 +16,15 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_id: str, out: str,
                 ties: Sequence[str] = (), span: int = SPAN) -> DataFrame:
     """1, 2, 3 ... per key in the order of the integer ``order_id`` (then ``ties``).
 
-    Rows are ranked inside id ranges of width ``span`` (with a unique id a window never
-    holds more than ``span`` rows), and each range is shifted by the rows before it.
+    Rows are ranked inside equal id ranges, one per ``span`` rows of the frame however dense or
+    sparse its ids are, and each range is shifted by the rows before it. Null ids come first.
     """
     keys = list(keys)
-    cut = df.withColumn("_range", F.floor(F.col(order_id) / F.lit(span)))
+    lowest, highest = (df.agg(f(order_id).cast("double")).scalar() for f in (F.min, F.max))
+    ranges = F.ceil(df.agg(F.count("*")).scalar() / F.lit(span))
+    # in double precision, which keeps the order of ids
+    at = F.floor(F.try_divide((F.col(order_id).cast("double") - lowest) * ranges, highest - lowest))
+    cut = df.withColumn("_range", F.when(F.col(order_id).isNull(), -1).otherwise(F.coalesce(at, F.lit(0))))
     local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order_id, *ties))
     before = (Window.partitionBy(*keys).orderBy("_range")
               .rowsBetween(Window.unboundedPreceding, -1))
