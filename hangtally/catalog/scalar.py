@@ -162,7 +162,7 @@ def _(s):
 
 CONSIGN = """
     SELECT l_orderkey AS doc_id, l_linenumber AS line_no, l_partkey AS sku, l_quantity AS qty,
-           CASE l_linenumber WHEN 1 THEN 'SP 299' WHEN 2 THEN 'NP 99' WHEN 3 THEN 'DISC 50%+20%' WHEN 4 THEN 'DISC 50%'
+           CASE l_linenumber WHEN 1 THEN 'SP 299' WHEN 2 THEN 'NP 99' WHEN 3 THEN CASE WHEN l_quantity > 25 THEN 'DISC 50+20%' ELSE 'DISC 50%+20%' END WHEN 4 THEN 'DISC 50%'
                 WHEN 5 THEN 'POTONGAN 20' WHEN 6 THEN 'DISC 70%' WHEN 7 THEN CASE WHEN l_quantity > 25 THEN 'NORMAL' END END AS event,
            CASE WHEN l_tax > 0.075 THEN 'T' ELSE 'F' END AS bonus,
            99000 + 1000e0 * l_linenumber AS mark_amount, 200001 + 100e0 * l_suppkey AS list_price,
@@ -174,11 +174,11 @@ CONSIGN = """
 CONSIGN_CASE = """
     SELECT *,
       CASE WHEN bonus = 'T' THEN mark_amount WHEN event LIKE '%SP%' OR event LIKE '%NP%' THEN mark_amount
-           WHEN CONTAINS(event, 'DISC 50%+20%') THEN list_price
+           WHEN CONTAINS(event, 'DISC 50%+20%') OR event = 'DISC 50+20%' THEN list_price
            WHEN CONTAINS(event, 'DISC 50%') THEN list_price
            WHEN CONTAINS(event, 'POTONGAN') THEN price ELSE list_price END AS final_price,
       CASE WHEN bonus = 'T' THEN disc WHEN event LIKE '%SP%' OR event LIKE '%NP%' THEN 0
-           WHEN CONTAINS(event, 'DISC 50%+20%') THEN list_price * 0.6e0
+           WHEN CONTAINS(event, 'DISC 50%+20%') OR event = 'DISC 50+20%' THEN list_price * 0.6e0
            WHEN CONTAINS(event, 'DISC 50%') THEN list_price * 0.5e0
            WHEN CONTAINS(event, 'POTONGAN') THEN disc WHEN CONTAINS(event, 'DISC 70%') THEN list_price * 0.7e0
            WHEN CONTAINS(event, 'NORMAL') THEN 0 ELSE disc END AS raw_disc
@@ -187,7 +187,7 @@ CONSIGN_CASE = """
 
 def consign_lines(s):
     n, qty = F.col("l_linenumber"), F.col("l_quantity")
-    event = (F.when(n == 1, "SP 299").when(n == 2, "NP 99").when(n == 3, "DISC 50%+20%").when(n == 4, "DISC 50%")
+    event = (F.when(n == 1, "SP 299").when(n == 2, "NP 99").when((n == 3) & (qty > 25), "DISC 50+20%").when(n == 3, "DISC 50%+20%").when(n == 4, "DISC 50%")
              .when(n == 5, "POTONGAN 20").when(n == 6, "DISC 70%").when((n == 7) & (qty > 25), "NORMAL"))
     return s.lineitem.select(
         F.col("l_orderkey").alias("doc_id"), n.alias("line_no"), F.col("l_partkey").alias("sku"), qty.alias("qty"),

@@ -182,8 +182,8 @@ def first_true(branches: Sequence[tuple[Column, Column]], default: Column) -> Co
 
 
 def event_price_and_discount(event, bonus, mark_amount, list_price, price, disc) -> tuple[Column, Column]:
-    """Selling price and unit discount by event text, first matching rule wins."""
-    event, bonus = col(event), col(bonus)
+    """Selling price and unit discount by event text, repaired first; the first matching rule wins."""
+    event, bonus = recode(event, K.EVENT_REPAIRS), col(bonus)
     mark_amount, list_price = col(mark_amount), col(list_price)
     price, disc = col(price), col(disc)
     rules = [
