@@ -135,13 +135,19 @@ def _(s):
 
 @query("margin_resolve", f"""
     WITH {MODAL_SQL},
-    found AS (SELECT doc_id, cust_id, mark_id, COALESCE({BAND_SQL}, {ASOF_SQL}, 0) AS m FROM sales_header h)
-    SELECT doc_id, cust_id, mark_id, CASE WHEN m = 0 THEN modal_margin ELSE m END AS margin,
+    marked AS (SELECT l.doc_id, line_no, cust_id, h.sales_date, a.category_id,
+                      CAST(COALESCE(CASE WHEN line_no % 3 <> 0 THEN l.mark_id END, a.sku % 2) AS INTEGER) AS mark_id
+               FROM sales_line l JOIN sales_header h USING (doc_id) LEFT JOIN article a ON a.sku = l.sku),
+    found AS (SELECT doc_id, line_no, cust_id, mark_id, COALESCE({BAND_SQL}, {ASOF_SQL}, 0) AS m FROM marked h)
+    SELECT doc_id, line_no, cust_id, mark_id, CASE WHEN m = 0 THEN modal_margin ELSE m END AS margin,
            CASE WHEN m = 0 THEN 'X' ELSE 'O' END AS margin_status
     FROM found LEFT JOIN modal USING (cust_id)""")
 def _(s):
-    facts = s.sales_header.select("doc_id", "cust_id", "mark_id", "category_id", "sales_date")
-    return S.resolve_margin(facts, s.rate_asof, s.rate_band).select("doc_id", "cust_id", "mark_id", "margin", "margin_status")
+    # every third line has no mark of its own
+    lines = s.sales_line.select("doc_id", "line_no", "sku", F.when(F.col("line_no") % 3 != 0, F.col("mark_id")).cast("int").alias("mark_id"))
+    articles = s.article.select("sku", (F.col("sku") % 2).cast("int").alias("mark_id"), "category_id")
+    facts = S.marks_from_articles(lines.join(s.sales_header.select("doc_id", "cust_id", "sales_date"), "doc_id"), articles)
+    return S.resolve_margin(facts, s.rate_asof, s.rate_band).select("doc_id", "line_no", "cust_id", "mark_id", "margin", "margin_status")
 
 
 @query("store_modal_margin", f"WITH {MODAL_SQL} SELECT cust_id, modal_margin FROM modal")
@@ -150,11 +156,16 @@ def _(s):
 
 
 @query("outstanding_orders", """
-    SELECT cust_id, sku, delivery_date, SUM(qty) AS qty FROM delivery d JOIN delivery_line l USING (doc_id)
+    SELECT o.cust_id, sku, delivery_date, SUM(qty) AS qty
+    FROM delivery d JOIN delivery_line l ON l.doc_id = d.doc_id
+    JOIN (SELECT o_orderkey AS order_no, o_custkey AS cust_id FROM orders WHERE o_orderkey % 22 <> 0) AS o ON o.order_no = d.doc_id - d.doc_id % 2
     WHERE d.status = 'F' AND NOT EXISTS (SELECT 1 FROM receiving r WHERE r.doc_id = d.doc_id)
-    GROUP BY cust_id, sku, delivery_date""", dates=["delivery_date"])
+    GROUP BY o.cust_id, sku, delivery_date""", dates=["delivery_date"])
 def _(s):
-    return O.outstanding(s.delivery, s.delivery_line, s.receiving, ["cust_id", "sku", "delivery_date"], "qty")
+    # two deliveries share an order; some orders are missing
+    deliveries = s.delivery.withColumn("order_no", F.col("doc_id") - F.col("doc_id") % 2)
+    orders = s.orders.where("o_orderkey % 22 <> 0").select(F.col("o_orderkey").alias("order_no"), F.col("o_custkey").alias("cust_id"))
+    return O.outstanding(deliveries, s.delivery_line, s.receiving, ["cust_id", "sku", "delivery_date"], "qty", orders)
 
 
 @query("outstanding_transfers", """

@@ -13,10 +13,15 @@ from hangtally.operators.upsert import merge_upsert
 
 
 def outstanding(deliveries: DataFrame, lines: DataFrame, received: DataFrame,
-                keys: Sequence[str], out: str) -> DataFrame:
-    """Quantity of open deliveries without a receiving document, summed by the keys."""
+                keys: Sequence[str], out: str, orders: DataFrame | None = None) -> DataFrame:
+    """Quantity of open deliveries without a receiving document, summed by the keys.
+
+    With ``orders`` (order_no, cust_id) the customer is the order's, and deliveries without an order drop out.
+    """
     still_open = (deliveries.where(F.col("status") == K.VOID)
                   .join(received.select("doc_id"), "doc_id", "left_anti"))
+    if orders is not None:
+        still_open = still_open.drop("cust_id").join(orders, "order_no")
     return lines.join(still_open, "doc_id").groupBy(*keys).agg(F.sum("qty").alias(out))
 
 

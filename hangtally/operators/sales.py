@@ -93,6 +93,16 @@ def store_modal_margin(rates: DataFrame, store: str = "cust_id") -> DataFrame:
     return modal_value(current, [store], "margin", "modal_margin")
 
 
+def marks_from_articles(lines: DataFrame, articles: DataFrame) -> DataFrame:
+    """Category of each line from its article, and the article's mark where the line has none.
+
+    ``articles`` has one row per SKU with mark_id and category_id.
+    """
+    own = articles.select("sku", F.col("mark_id").alias("_mark"), "category_id")
+    return (lines.drop("category_id").join(own, "sku", "left")
+            .withColumn("mark_id", F.coalesce("mark_id", "_mark")).drop("_mark"))
+
+
 def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id") -> DataFrame:
     """Margin by dated band, else by effective date, else the store's usual margin.
 

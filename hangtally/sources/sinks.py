@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hangtally.operators.numbering import number_rows
 from hangtally.operators.upsert import merge_upsert
 
 
@@ -39,6 +40,14 @@ def export_in_parts(df: DataFrame, path: str, rows_per_file: int) -> None:
      .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
+def export_in_equal_parts(df: DataFrame, path: str, order_id: str, ties: Sequence[str] = (), parts: int = 3) -> None:
+    """CSV folders part=0, 1, ... of equally many rows (one more or less) in the order of ``order_id``."""
+    total = df.agg(F.count("*")).scalar()
+    numbered = number_rows(df, [], order_id, "_n", ties)
+    placed = numbered.withColumn("part", F.floor((F.col("_n") - 1) * parts / total)).drop("_n")
+    rebalanced(placed, ["part"]).write.mode("overwrite").partitionBy("part").option("header", True).csv(path)
+
+
 def upsert_to(spark: SparkSession, old_path: str, new_path: str, source: DataFrame,
               keys: Sequence[str]) -> DataFrame:
     """Merge into the table at ``old_path`` and write the result to ``new_path``.
