@@ -89,6 +89,21 @@ def test_hot_anchors_give_the_same_spans(docs, monkeypatch, hot):
     test_repeats_against_all_windows(docs)
 
 
+def test_contexts_that_share_half_a_digest_stay(spark):
+    r = np.random.default_rng(8)
+    pool = r.integers(97, 123, 1_000_000).astype(np.uint8)
+    at = int(repeats._mixed(repeats._grams(pool, repeats.ANCHOR)).argmin())   # the anchor of any window that holds it
+    anchor, seen, pair = pool[at:at + repeats.ANCHOR].tobytes(), {}, None
+    while pair is None:
+        text = anchor + r.integers(97, 123, repeats.WINDOW - repeats.ANCHOR).astype(np.uint8).tobytes()
+        half = repeats.xxhash.xxh3_64_intdigest(text) & 0xFFFFFFFF
+        pair = (seen[half], text) if half in seen and seen[half] != text else None
+        seen[half] = text
+    assert {int(repeats.contexts_of(t)[0][0]) for t in pair} == {int(repeats.contexts_of(pair[0])[0][0])}
+    docs = spark.createDataFrame([(k, t.decode()) for k, t in enumerate([*pair, pair[0]])], "doc_id bigint, text string")
+    assert key(repeats.digests(repeats.remove_repeats(docs)).select("doc_id", "n_removed").collect()) == [(0, 0), (1, 0), (2, repeats.WINDOW)]
+
+
 def test_merged_transforms_find_all_shared_windows():
     texts = [bytes(RND.choice(b"ab") for _ in range(RND.randint(100, 168))) for _ in range(30)]
     texts += [texts[i][5:] + b"zz" for i in range(10) if len(texts[i]) > 110]
