@@ -4,7 +4,9 @@ A text's vector counts its hashed letter n-grams (one to three letters, with wor
 by logarithm, weighted by inverse document frequency and normalised. Each language has several
 centroids, found by spherical k-means over a bounded sample of its labelled texts; a text gets the
 language of the centroid with the greatest cosine. It is rejected if its distance (one minus the cosine)
-leaves less than ``SLACK`` of the cosine that the language's farthest training text has to its centroid.
+leaves less cosine than the language's floor: ``SLACK`` of the ``QUANTILE`` of the cosines that one half of the sampled
+texts has to centroids of the other half. A text of fewer than ``FULL`` different n-grams has a smaller cosine by nature,
+so cosines are divided by the root of its share of ``FULL`` first. A language with one text has floor 0.
 
 Document frequencies count all labelled texts. The sample is bounded by ``PER_LANGUAGE`` texts of each
 language, taken by a hash of doc_id, so reruns agree.
@@ -30,7 +32,8 @@ from hangtally.llm.common import batch, prepare
 
 #: Hashed dimensions, centroids of a language, and texts of a language that the fit may use at most (on average).
 DIMENSIONS, CENTROIDS, PER_LANGUAGE, ROUNDS = 4096, 4, 1000, 12
-SLACK = 0.25
+#: Share of the floor's quantile that is enough, the quantile, and different n-grams from which a text counts as long.
+SLACK, QUANTILE, FULL = 0.5, 0.05, 256
 UNKNOWN = "und"
 
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x10000)), bool, 0x10000)
@@ -56,12 +59,17 @@ def counts(text: str) -> np.ndarray | None:
     return np.bincount(((hashed ^ (hashed >> 15)) * np.uint32(0x2C1B3C6D)) >> np.uint32(20), minlength=DIMENSIONS)
 
 
+def length_share(rows: np.ndarray) -> np.ndarray:
+    """Share of a long text's cosine that texts with these counts can be held to."""
+    return np.sqrt(np.minimum(1, (rows > 0).sum(1) / FULL))
+
+
 @dataclass
 class Model:
     weights: np.ndarray       # inverse document frequencies
     languages: list[str]      # of each centroid
     centroids: np.ndarray
-    limits: np.ndarray        # greatest distance that is not rejected
+    floors: np.ndarray        # least cosine of a long text that is not rejected
 
     def vectors(self, rows: np.ndarray) -> np.ndarray:
         v = (np.log1p(rows) * self.weights).astype(np.float32)
@@ -72,11 +80,12 @@ class Model:
         out = [(UNKNOWN, 0.0, True)] * len(texts)
         some = [i for i, m in enumerate(made) if m is not None]
         if some and self.languages:
-            near = self.vectors(np.stack([made[i] for i in some])) @ self.centroids.T
+            rows = np.stack([made[i] for i in some])
+            near, share = self.vectors(rows) @ self.centroids.T, length_share(rows).tolist()
             best = near.argmax(1)
-            for i, b, s in zip(some, best.tolist(), near.max(1).tolist()):
+            for i, b, s, h in zip(some, best.tolist(), near.max(1).tolist(), share):
                 s = min(1.0, max(0.0, s))
-                out[i] = (self.languages[b], s, 1 - s > float(self.limits[b]))
+                out[i] = (self.languages[b], s, s < float(self.floors[b]) * h)
         return out
 
 
@@ -98,6 +107,15 @@ def clustered(v: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.ndarray,
     return c, near
 
 
+def floor_of(v: np.ndarray, share: np.ndarray) -> float:
+    """Least cosine of a long text, from cosines of each half of the texts to centroids of the other half."""
+    halves = np.arange(len(v)) % 2 == 0
+    if halves.all():
+        return 0.0
+    found = [(v[~h] @ clustered(v[h], CENTROIDS)[0].T).max(1) / share[~h] for h in (halves, ~halves)]
+    return SLACK * max(0.0, float(np.quantile(np.concatenate(found), QUANTILE)))
+
+
 def labelled(docs: DataFrame) -> DataFrame:
     """The rows to learn from: text and language given, and not held out."""
     return docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (held_out() == False)).select("doc_id", "text", "lang")  # noqa: E712
@@ -141,16 +159,16 @@ def fit(rows: DataFrame) -> Model:
         group = group.sort_values(["_order", "doc_id"])
         made = [m for t in group["text"] if (m := counts(t)) is not None]
         if not made:
-            return pd.DataFrame({"lang": [], "centroid": [], "limit": []})
-        v = model.vectors(np.stack(made))
-        c, near = clustered(v, CENTROIDS)
-        limit = 1 - SLACK * max(0.0, float(near.max(1).min()))
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(c), "centroid": [x.astype("<f4").tobytes() for x in c], "limit": [limit] * len(c)})
+            return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
+        made = np.stack(made)
+        v = model.vectors(made)
+        c, _ = clustered(v, CENTROIDS)
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(c), "centroid": [x.astype("<f4").tobytes() for x in c], "floor": [floor_of(v, length_share(made))] * len(c)})
 
-    fitted = sorted(sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, limit double").collect())
+    fitted = sorted(sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, floor double").collect())
     if not fitted:
         return model
-    return Model(weights, [r["lang"] for r in fitted], np.stack([np.frombuffer(r["centroid"], "<f4") for r in fitted]), np.array([r["limit"] for r in fitted]))
+    return Model(weights, [r["lang"] for r in fitted], np.stack([np.frombuffer(r["centroid"], "<f4") for r in fitted]), np.array([r["floor"] for r in fitted]))
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

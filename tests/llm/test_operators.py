@@ -188,6 +188,20 @@ def test_language_prediction(spark, docs):
     assert {r[0] for r in langid.predict(docs, langid.fit(train.limit(0)), ("doc_id",)).select("lang_pred").collect()} == {"und"}
 
 
+def test_unlearned_languages_and_letter_noise_go(spark):
+    known = [(k, prose(60, k), "xx") for k in range(200)]
+    r = random.Random(9)
+    noise = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n)) for n in (20, 100, 1000)]
+    foreign = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+               base64.b64encode(r.randbytes(600)).decode()]
+    outlier = [(1000, "Все люди рождаются свободными и равными в своем достоинстве и правах", "xx")]   # must not loosen the floor
+    model = langid.fit(spark.createDataFrame(known[:100] + outlier, "doc_id bigint, text string, lang string"))
+    assert all(rejected for _, _, rejected in model.predict(noise + foreign))
+    short = [" ".join(t.split()[:n]) for _, t, _ in known[100:] for n in (5, 20)]
+    assert not any(rejected for _, _, rejected in model.predict([t for _, t, _ in known[100:]] + short))
+
+
 def test_token_files(docs):
     t = Tokenizer.from_file(TOKENIZER)
     manifest = seekable.write_ids(docs, TOKENIZER, END_ID, 3)
