@@ -50,6 +50,18 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
+def pieces(raw: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """Parts of a text of about ``size`` bytes, cut at spaces, so a very long text needs no list of all its words."""
+    at = 0
+    while len(raw) - at > size:
+        cut = raw.find(b" ", at + size)
+        if cut < 0:
+            break
+        yield raw[at:cut]
+        at = cut
+    yield raw[at:]
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of edges (u, v: long): rows (node, component), component the smallest node.
 
