@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hangtally.llm import bpe, chat, divergence, langid, minhash, mixing, mtree, multiindex, repeats, seekable, warc
+from hangtally.llm import bpe, chat, divergence, langid, logbilinear, minhash, mixing, mtree, multiindex, repair, repeats, seekable, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -83,6 +83,17 @@ def op10_vector_dedup(spark, folder):
     return multiindex.near_vectors(table(spark, folder, "embeddings"))
 
 
+@query
+def op11_conversation_repair(spark, folder):
+    turns = table(spark, folder, "conversations")
+    return repair.report(turns, repair.damaged(turns))
+
+
+@query
+def op12_lm_score(spark, folder):
+    return logbilinear.report(table(spark, folder, "documents"))
+
+
 @query
 def op13_source_divergence(spark, folder):
     return divergence.audit(table(spark, folder, "documents"))
@@ -127,3 +138,51 @@ ORACLES["op13_source_divergence"] = r"""
           UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM x WHERE a > 0 AND p > q),
     ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rn FROM every)
     SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rn AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rn <= 10"""
+
+
+def _repair_sql() -> str:
+    """Each conversation folded row by row, the best (cost, audit, output) for each of four states in columns."""
+    def add(w, cost, letter, role=None, text="''"):
+        put = f"{w}.r" if role is None else f"{w}.r || CHR(10) || {role} || ':' || {text}"
+        return f"{{'c': {w}.c + {cost}, 'a': {w}.a || '{letter}', 'r': {put}}}"
+
+    def emit(w, initial, role):
+        return (f"CASE WHEN fault IN (1, 2) THEN {never} WHEN initial = '{initial}' THEN {add(w, 'late', 'K', 'role', 'text')} "
+                f"ELSE {add(w, '2 + late', 'R', repr(role), 'text')} END")
+
+    never = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 'r': ''}"
+    deleted = [add(f"w{q}", 3, "D") for q in range(4)]
+    return f"""
+    WITH RECURSIVE src AS (SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text, LIST_TRANSFORM(
+            STRING_SPLIT(COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ORD(x) AS BIGINT)) AS key
+            FROM conversations),
+    told AS (SELECT *, XOR(LIST_REDUCE(LIST_PREPEND(CAST(4294967295 AS BIGINT), key), lambda c, b: LIST_REDUCE([XOR(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda t, z: CASE WHEN t % 2 = 1 THEN XOR(t // 2, 3988292384) ELSE t // 2 END)), 4294967295) % 20 AS kind FROM src),
+    rows_ AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN TRANSLATE(text, '.!?', '') ELSE text END AS text,
+            UNNEST(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM told WHERE kind <> 0),
+    placed AS (SELECT *, LEFT(role, 1) AS initial, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+            RTRIM(text, ' ' || CHR(9) || CHR(10) || CHR(11) || CHR(12) || CHR(13)) AS ended FROM rows_),
+    judged AS (SELECT *, CASE WHEN ended = '' THEN 1 WHEN ROW_NUMBER() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN RIGHT(ended, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM placed),
+    j AS (SELECT *, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS late,
+            LAG(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS wrong FROM judged),
+    ids AS (SELECT DISTINCT conv_id FROM conversations),
+    fold AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 'r': ''}} AS w0, {never} AS w1, {never} AS w2, {never} AS w3 FROM ids
+        UNION ALL SELECT conv_id, i, {deleted[0]}, LEAST({deleted[1]}, CASE WHEN fault IN (1, 2) OR initial <> 's' THEN {never} ELSE {add('w0', 'late', 'K', 'role', 'text')} END),
+            LEAST({deleted[2]}, {emit('w3', 'a', 'assistant')}), LEAST({deleted[3]}, {emit('w0', 'u', 'user')}, {emit('w1', 'u', 'user')}, {emit('w2', 'u', 'user')})
+        FROM (SELECT conv_id, i, w0, w1, LEAST(w2, {add('w3', 2, 'I', "'assistant'")}) AS w2, w3, role, text, initial, fault, late FROM (
+            SELECT f.conv_id, j.i, w0, w1, w2, LEAST(w3, {add('w0', 2, 'I', "'user'")}, {add('w1', 2, 'I', "'user'")}, {add('w2', 2, 'I', "'user'")}) AS w3,
+                role, text, initial, fault, late
+            FROM fold f JOIN j ON j.conv_id IS NOT DISTINCT FROM f.conv_id AND j.i = f.i + 1) AS opened) AS closed),
+    last_ AS (SELECT conv_id, LEAST(w0, w2, {add("o", 2, "I", "'assistant'")}) AS w FROM (
+            SELECT *, LEAST(w3, {add('w0', 2, 'I', "'user'")}, {add('w1', 2, 'I', "'user'")}, {add('w2', 2, 'I', "'user'")}) AS o
+            FROM fold QUALIFY i = MAX(i) OVER (PARTITION BY conv_id)) AS opened),
+    m AS (SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (WHERE fault = 1) AS blank,
+            COUNT(*) FILTER (WHERE fault = 2) AS duplicate, COUNT(*) FILTER (WHERE fault = 3) AS truncated, COUNT(*) FILTER (WHERE wrong) AS illegal
+            FROM j GROUP BY conv_id)
+    SELECT l.conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate, COALESCE(truncated, 0) AS truncated,
+        COALESCE(illegal, 0) AS illegal, w.c AS cost, w.a AS audit, SHA256(SUBSTR(w.r, 2)) AS repaired_sha256
+    FROM last_ l LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM l.conv_id"""
+
+
+ORACLES["op11_conversation_repair"] = _repair_sql()
