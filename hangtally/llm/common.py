@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from hangtally.session import scratch_path
 
-#: Rows in one Arrow batch. Texts are a few kilobytes, so a batch stays at a few megabytes.
-BATCH_ROWS = 1000
+#: Rows and bytes in one Arrow batch.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Ships this package to the executors once per session and bounds the Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if getattr(spark.sparkContext, "_hangtally_shipped", False):
         return
     root = Path(__file__).resolve().parent.parent

@@ -35,6 +35,8 @@ DIMENSIONS, CENTROIDS, PER_LANGUAGE, ROUNDS = 4096, 4, 1000, 12
 #: Share of the floor's quantile that is enough, the quantile, and different n-grams from which a text counts as long.
 SLACK, QUANTILE, FULL = 0.5, 0.05, 256
 UNKNOWN = "und"
+#: Texts whose vectors a task holds at once.
+SLICE = 64
 
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x10000)), bool, 0x10000)
 
@@ -179,22 +181,18 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
         for b in batches:
-            for at in range(0, b.num_rows, 250):
-                part = b.slice(at, 250)
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
                 yield batch(arrow, *part.columns[:-1], *zip(*model.predict(part.column(len(keep)).to_pylist())))
 
     return docs.select(*keep, F.col("text").alias("_value")).mapInArrow(work, schema)
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that are not rejected; columns as they are."""
+    """The rows of docs that are not rejected; columns as they are. Only texts pass through Python, rows stay in the JVM."""
     prepare(docs.sparkSession)
-    place = docs.columns.index("text")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 250):
-                part = b.slice(at, 250)
-                yield part.filter(pa.array([not r for _, _, r in model.predict(part.column(place).to_pylist())], pa.bool_()))
+    def known(texts: pa.Array) -> pa.Array:
+        return pa.array([not r for at in range(0, len(texts), SLICE) for _, _, r in model.predict(texts[at:at + SLICE].to_pylist())], pa.bool_())
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.where(F.arrow_udf(known, "boolean")(F.col("text")))

@@ -5,7 +5,7 @@ of 16 bits, the low bits of 48 minima. Two signatures that differ in at most 23
 into 12 chunks of 4 symbols, have a chunk that differs in at most one (pigeonhole: 12 chunks with
 two errors or more are 24). So each signature is entered 4 times per chunk, once with each symbol
 left out; equal entries find every pair within that distance. A pair of similarity 0.75 misses all
-entries with probability 5e-10. Pairs found are confirmed on the full sets.
+entries with probability 1e-7 (a chunk has two errors or more in 0.262 of the cases, all twelve in 0.262^12). Pairs found are confirmed on the full sets.
 
 Equal sets are one class and are never compared with each other. Within an entry's group the first
 member is compared with all others, which joins most of a group of copies to one component. Documents
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
 from hangtally.llm.common import batch, components, prepare, rows_of, stored
 from hangtally.llm.words import Memo
@@ -83,10 +83,11 @@ def set_digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of the set and symbols of the signature (both null if it is empty)."""
-    out = "doc_id bigint, n_shingles bigint, digest binary, symbols binary"
-    schema = to_arrow_schema(_parse_datatype_string(out))
+def signatures(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, ``keep``, n_shingles, digest of the set and symbols of the signature (both null if it is empty)."""
+    made = _parse_datatype_string("n_shingles bigint, digest binary, symbols binary")
+    out = StructType([StructField("doc_id", LongType()), *[docs.schema[c] for c in keep], *made.fields])
+    schema = to_arrow_schema(out)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -98,9 +99,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                     rows.append((0, None, None))
                     continue
                 rows.append((len(s), set_digest(s), minima(s).astype(np.uint16).tobytes()))
-            yield batch(schema, b.column(0), *zip(*rows)) if rows else batch(schema, *[[]] * 4)
+            if rows:
+                yield batch(schema, b.column(0), *b.columns[2:], *zip(*rows))
 
-    return docs.select("doc_id", "text").mapInArrow(work, out)
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *keep).mapInArrow(work, out)
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -222,11 +224,11 @@ def _strays(stars: DataFrame, parts: DataFrame, texts: DataFrame, percent: int)
     return stored(dealt.mapInArrow(work, out).distinct(), "near-more")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Per row of docs: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, percent: int = 75, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of docs: ``keep``, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     prepare(spark)
-    sigs = stored(signatures(docs), "near-signatures")
+    sigs = stored(signatures(docs, keep), "near-signatures")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = (sigs.where("digest is not null and doc_id is not null").groupBy("digest")
              .agg(F.min_by(F.struct("doc_id", "symbols"), "doc_id").alias("s")).select("digest", "s.*"))
@@ -246,11 +248,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     tops = classes.select(F.col("node").alias("top"), F.col("doc_id").alias("component_doc"))
     named = named.join(tops, "top").select("digest", "component_doc")
     out = sigs.join(named, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.expr("if(doc_id is null, null, coalesce(component_doc, doc_id))").alias("component_id"),
+    return out.select(*keep, "doc_id", "n_shingles", F.expr("if(doc_id is null, null, coalesce(component_doc, doc_id))").alias("component_id"),
                       F.expr("doc_id is null or doc_id = coalesce(component_doc, doc_id)").alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of docs without the near duplicates of smaller documents; columns as they are."""
-    gone = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """The rows of docs without the near duplicates of smaller documents; columns as they are.
+
+    Of rows that share a doc_id only those go whose own text is such a duplicate.
+    """
+    told = F.xxhash64("text")
+    found = near_duplicates(docs.select("doc_id", "text", told.alias("_told")), percent, ("_told",))
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"), "_told").distinct()
+    return docs.join(gone, (docs["doc_id"] == F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_told")), "left_anti")

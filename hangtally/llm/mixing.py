@@ -9,8 +9,9 @@ a running sum inside one of its 4,096 bins, so no source is ever sorted in one t
 
 The driver holds one number per pattern and source, not per document.
 
-Cases: a null or blank text has size 0. Null is a source of its own, the last. Repeated rows have one hash and are
-taken together. A source without words has target 0. An empty table gives an empty result.
+Cases: a null or blank text has size 0. Null is a source of its own, the last. The order's hash reads doc_id and text, so rows
+without doc_id or with one doc_id move apart where their texts differ; equal rows are taken together. Very long texts are
+only counted and hashed, in the JVM. Further columns keep their values, whatever their names, but for names with a leading underscore. A source without words has target 0. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def mix(docs: DataFrame, sources: Column, weight: Callable[[int], float], total_
     """
     spark = docs.sparkSession
     rows = docs.withColumns({"_size": word_count("text"), "_pattern": F.to_json(F.array_distinct(sources)),
-                             "_order": F.xxhash64("doc_id", F.lit(seed))})
+                             "_order": F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.lit(seed))})
     narrow = stored(rows.select("_pattern", "_size", "_order"), "mix-sizes")
     sums = sorted((r["_pattern"], r["size"]) for r in narrow.groupBy("_pattern").agg(F.sum("_size").alias("size")).collect())
     held = [json.loads(p) for p, _ in sums]

@@ -115,6 +115,7 @@ class Tree:
             # rows whose stored distance to the centre cannot bring them within the bound are left out
             i, j = np.searchsorted(member, [d - bound - MARGIN, d + bound + MARGIN], side="left")
             rows = rows[i:np.searchsorted(member, d + bound + MARGIN, side="right")] if j >= i else rows[:0]
+            rows = rows[self.ids[rows] != own]
             if not len(rows):
                 continue
             score = np.rint(self.x[rows] @ q).astype(np.int64)
@@ -125,8 +126,6 @@ class Tree:
             else:
                 some = np.arange(len(score))
             for s, i in sorted(zip(score[some].tolist(), self.ids[rows[some]].tolist()), key=lambda t: (-t[0], t[1])):
-                if i == own:
-                    continue
                 if len(best) < k:
                     heapq.heappush(best, (s, -i))
                 elif (s, -i) > best[0]:
@@ -190,7 +189,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     spark = vectors.sparkSession
     prepare(spark)
     rows = stored(integers(vectors), "search-rows")
-    asks = stored(integers(queries), "search-queries")
+    asks = stored(integers(queries).groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("q")).select("vec_id", "q.*"), "search-queries")
     facts = rows.union(asks).agg(F.max("norm"), F.max(F.size("v"))).first()
     count = rows.count()
     top, width = float(facts[0] or 0), int(facts[1] or 0)

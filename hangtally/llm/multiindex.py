@@ -3,9 +3,11 @@
 Unit vectors are cut in two halves, and each half has a codebook of its own (k-means over a bounded
 sample). A vector lives in one cell of the product grid. To find its partners it visits cells in
 the order of the summed squared distances of its halves to the two codewords (multi-sequence
-traversal), as many cells as a measured sample of queries needs for ``RECALL`` of its true pairs: the
-sample is compared with all rows by brute force, and the rank of each true partner's cell is
-noted. Every candidate in a visited cell is verified in double precision, so no false link appears.
+traversal), as many cells as a sample of queries needs for a mean recall of ``RECALL``, measured twice: on the queries' true
+partners (the sample is compared with all rows by brute force, the rank of each partner's cell is noted, and queries
+count alike, however large their group), and on ``PLANTED`` partners a query, drawn at the least cosine in random
+directions. The second holds where the sample has no or few partners. Only finding from the query's own end is counted; a pair
+is also found from the other. Every candidate in a visited cell is verified in double precision, so no false link appears.
 
 Equal vectors of one label are one class with a weight. Inside a task rows are compared in blocks;
 links are counted there and only a spanning forest of them leaves it, so a large group of
@@ -21,6 +23,7 @@ own. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from hangtally.llm.common import batch, components, prepare, stored
 
-#: Rows the codebooks are fitted on at most, queries of the recall sample, the recall aimed at, least visits.
-FIT_ROWS, RECALL_QUERIES, RECALL, LEAST_VISITS = 8192, 256, 0.999, 4
+#: Rows the codebooks are fitted on at most, queries of the recall sample, planted partners of each, the recall aimed at, and
+#: cells up to which a rank is told; partners farther off make a query visit all cells.
+FIT_ROWS, RECALL_QUERIES, PLANTED, RECALL, RANKED = 8192, 256, 16, 0.995, 4096
 BLOCK = 2048
-#: Rows of one label that a cell should hold, and the greatest codebook.
-CELL_ROWS, CODES = 64, 64
+#: Rows of one label that a cell should hold, and fitted rows a codeword should have.
+CELL_ROWS, CODE_ROWS = 512, 8
 
 
 def units(rows: list[list[float]], width: int) -> np.ndarray:
@@ -98,53 +102,69 @@ def _valid(vectors: DataFrame) -> DataFrame:
 
 
 def _visits(classes: DataFrame, grid: Grid, asked: list, width: int, least: float) -> int:
-    """Cells to visit so that each of the sample's true pairs is found from the sampled end, with the recall aimed at."""
+    """Cells to visit so that the sample's true and planted partners are found from the sampled end, with the recall aimed at."""
     if not asked:
-        return LEAST_VISITS
+        return 1
     q = units([r["v"] for r in asked], width)
     labels, nodes = np.array([r["label"] for r in asked]), np.array([r["node"] for r in asked])
     whole = len(grid.left) * len(grid.right)
-    places = np.full((len(q), whole), whole)
-    for i, t in enumerate(grid.traversals(q, whole)):
-        places[i, t] = np.arange(len(t))
-    out = "rank bigint, pairs bigint"
+    told = min(whole, RANKED)
+    ranks = [dict(zip(t, range(told))) for t in grid.traversals(q, told)]
+    random = np.random.default_rng(5)
+    side = random.normal(size=(len(q), PLANTED, width))
+    side -= (side * q[:, None]).sum(2, keepdims=True) * q[:, None]
+    planted = least * q[:, None] + (1 - least ** 2) ** 0.5 * side / np.maximum(np.linalg.norm(side, axis=2, keepdims=True), 1e-30)
+    share = np.zeros(told + 1)   # of partners by the rank of their cell, summed over queries
+    for of, homes in zip(ranks, grid.homes(planted.reshape(-1, width)).reshape(len(q), PLANTED).tolist()):
+        for h in homes:
+            share[of.get(h, told)] += 1 / PLANTED
+    out = "query int, rank int, pairs bigint"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(whole + 1, np.int64)
+        total: Counter = Counter()
         for b in batches:
             if b.num_rows:
                 x = units(b.column(1).to_pylist(), width)
                 own = np.array(b.column(2).to_pylist())
                 hit = (x @ q.T >= least) & (own[:, None] == labels) & (b.column(0).to_numpy()[:, None] != nodes)
-                r, c = np.nonzero(hit)
-                total += np.bincount(places[c, grid.homes(x)[r]], minlength=whole + 1)
-        yield batch(schema, np.flatnonzero(total), total[total > 0])
+                homes = grid.homes(x).tolist()
+                total.update((c, ranks[c].get(homes[r], told)) for r, c in zip(*(i.tolist() for i in np.nonzero(hit))))
+        if total:
+            yield batch(schema, *zip(*((c, r, n) for (c, r), n in total.items())))
 
-    found = classes.select("node", "v", "label").mapInArrow(work, out).groupBy("rank").agg(F.sum("pairs").alias("n")).orderBy("rank").collect()
-    pairs = sum(r["n"] for r in found)
-    seen = 0
-    for r in found:   # one row per rank of a cell
-        seen += r["n"]
-        if seen >= RECALL * pairs:
-            return max(LEAST_VISITS, r["rank"] + 1)
-    return LEAST_VISITS
+    found = classes.select("node", "v", "label").mapInArrow(work, out).groupBy("query", "rank").agg(F.sum("pairs").alias("n")).collect()   # bounded by queries and ranks
+    pairs = Counter()
+    for r in found:
+        pairs[r["query"]] += r["n"]
+    true = np.zeros(told + 1)
+    for r in found:
+        true[r["rank"]] += r["n"] / pairs[r["query"]]
+    return max(_enough(share / len(q), whole), _enough(true / max(1, len(pairs)), whole))
+
+
+def _enough(share: np.ndarray, whole: int) -> int:
+    """Cells that hold the recall aimed at, from the shares by rank; all cells where the told ranks do not hold it."""
+    reached = np.flatnonzero(np.cumsum(share[:-1]) >= RECALL * share.sum() - 1e-12)
+    return int(reached[0]) + 1 if len(reached) else whole
 
 
 def _links(classes: DataFrame, grid: Grid, width: int, least: float) -> DataFrame:
     """Rows (node, links, other): links counted in a task, and a linked node or null; other forms a forest."""
     spark = classes.sparkSession
-    mid = "label string, cell int, kind int, node bigint, weight bigint, v array<double>, visits array<int>"
-    mid_schema = to_arrow_schema(_parse_datatype_string(mid))
+    mid = StructType([*_parse_datatype_string("label string, cell int, kind int, node bigint, weight bigint").fields, classes.schema["v"],
+                      *_parse_datatype_string("visits array<int>").fields])   # vectors as they come: narrower than unit vectors
+    mid_schema = to_arrow_schema(mid)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 250):
                 part = b.slice(at, 250)
-                x = units(part.column(1).to_pylist(), width)
+                raw = part.column(1).to_pylist()
+                x = units(raw, width)
                 home = grid.homes(x).tolist()
                 made = []
-                for node, label, weight, v, h, t in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), x.tolist(), home, grid.traversals(x)):
+                for node, label, weight, v, h, t in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), raw, home, grid.traversals(x)):
                     made.append((label, h, 0, node, weight, v, t))
                     made.extend((label, c, 1, node, weight, v, [h]) for c in t)
                 yield batch(mid_schema, *zip(*made))
@@ -169,11 +189,11 @@ def _links(classes: DataFrame, grid: Grid, width: int, least: float) -> DataFram
                     pending.clear()
                     return
                 if mine is None:
-                    mine = (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), [frozenset(r[3]) for r in rows])
+                    mine = (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), units([r[2] for r in rows], width), [frozenset(r[3]) for r in rows])
                 nodes, weights, x, visits = mine
                 theirs = np.array([p[0] for p in pending])
                 heavy = np.array([p[1] for p in pending])
-                i, j = np.nonzero(x @ np.array([p[2] for p in pending]).T >= least)
+                i, j = np.nonzero(x @ units([p[2] for p in pending], width).T >= least)
                 keep = nodes[i] != theirs[j]
                 i, j = i[keep], j[keep]
                 # met in both cells: counted where the resident is the smaller
@@ -235,7 +255,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     width += width % 2
     sample = classes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(FIT_ROWS).select("node", "v", "label").collect()   # bounded
     x = units([r["v"] for r in sample], width)
-    codes = int(min(CODES, max(2, round((count / CELL_ROWS / max(1, facts[2])) ** 0.5))))
+    codes = int(min(max(2, len(sample) // CODE_ROWS), max(2, round((count / CELL_ROWS / max(1, facts[2])) ** 0.5))))
     grid = Grid(codebook(x[:, :width // 2], codes), codebook(x[:, width // 2:], codes), 1)
     grid.visits = _visits(classes, grid, sample[:RECALL_QUERIES], width, least)
     links = stored(_links(classes, grid, width, least), "index-links")

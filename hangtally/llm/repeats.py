@@ -32,20 +32,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
-from hangtally.llm.common import batch, prepare, stored
+from hangtally.llm.common import batch, prepare, rows_of, stored
 
 WINDOW, ANCHOR, STRIDE = 100, 32, 25
-#: Bytes of contexts that one bucket aims at, shards that are merged in it, and contexts of one anchor from
-#: which it is judged window by window.
-BUCKET_BYTES, SHARDS, HOT = 3_000_000, 4, 20_000
+#: Bytes of contexts that a task's rows aim at and that it judges at once, shards that are merged then, and contexts of
+#: one anchor from which it is judged window by window.
+PART_BYTES, BUCKET_BYTES, SHARDS, HOT = 6_000_000, 400_000, 4, 12_000
 LAST = (1 << 63) - 1   # stands for a null doc_id
 
 _U = np.uint64
@@ -242,26 +241,33 @@ def _judged(contexts: DataFrame) -> DataFrame:
     many = contexts.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.octet_length("data")).alias("bytes"))
     hot = many.where(f"n > {HOT}").select("anchor")
     total = many.where(f"n <= {HOT}").agg(F.sum("bytes")).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    parts = max(1, -(-total // PART_BYTES))
     schema = to_arrow_schema(_parse_datatype_string(SPAN))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, tags, starts, data = [], [], [], []
-        for b in batches:   # one bucket
-            for column, values in zip((docs, tags, starts, data), b.columns):
-                column.extend(values.to_pylist())
-        if not data:
-            return
-        found = repeated_starts(data, np.array([docs, starts]).T)
+    def spans(bucket: list[tuple]) -> Iterator[pa.RecordBatch]:
+        _, docs, tags, starts, data = zip(*bucket)
         made = []
-        for doc, tag, start, s in zip(docs, tags, starts, found):
+        for doc, tag, start, s in zip(docs, tags, starts, repeated_starts(data, np.array([docs, starts]).T)):
             if len(s):
                 edge = np.flatnonzero(np.diff(s) > 1)
                 low, high = s[np.concatenate([[0], edge + 1])], s[np.concatenate([edge, [len(s) - 1]])] + WINDOW
                 made.extend((doc, tag, start + int(i), start + int(j)) for i, j in zip(low, high))
-        yield batch(schema, *(zip(*made) if made else [[]] * 4))
+        if made:
+            yield batch(schema, *zip(*made))
 
-    cool = contexts.join(hot, "anchor", "left_anti").repartition(buckets, "anchor").select("doc", "tag", "start", "data").mapInArrow(work, SPAN)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, size = [], 0   # whole anchors, in their order
+        for row in rows_of(batches):
+            if size >= BUCKET_BYTES and row[0] != bucket[-1][0]:
+                yield from spans(bucket)
+                bucket, size = [], 0
+            bucket.append(row)
+            size += len(row[4])
+        if bucket:
+            yield from spans(bucket)
+
+    cool = (contexts.join(hot, "anchor", "left_anti").repartition(parts, "anchor").sortWithinPartitions("anchor")
+            .select("anchor", "doc", "tag", "start", "data").mapInArrow(work, SPAN))
     # windows of hot anchors: 0-based starts inside the context
     window = (contexts.join(hot, "anchor").withColumn("k", F.expr(f"explode(sequence(1, octet_length(data) - {WINDOW - 1}))"))
               .selectExpr("doc", "tag", "start + k - 1 as low", f"sha2(substr(data, k, {WINDOW}), 256) as window"))
@@ -317,13 +323,16 @@ def merged_spans(low: list[int], high: list[int]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per row of docs: ``keep``, n_bytes, kept (binary: the bytes that stay), spans (array of removed low/high)."""
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), as_text: bool = False) -> DataFrame:
+    """Per row of docs: ``keep``, n_bytes, kept (binary: the bytes that stay), spans (array of removed low/high).
+
+    ``as_text``: kept is the text of these bytes, without characters that have lost a part of theirs.
+    """
     prepare(docs.sparkSession)
     spans = repeat_spans(docs).groupBy("doc").agg(F.collect_set(F.struct("tag", "low", "high")).alias("s"))
     rows = (docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
             .join(spans, "doc", "left").select(*[f"k{i}" for i in range(len(keep))], "text", "s.tag", "s.low", "s.high"))
-    made = _parse_datatype_string("n_bytes bigint, kept binary, spans array<struct<low: bigint, high: bigint>>")
+    made = _parse_datatype_string(f"n_bytes bigint, kept {'string' if as_text else 'binary'}, spans array<struct<low: bigint, high: bigint>>")
     schema = StructType([docs.schema[c] for c in keep] + made.fields)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,21 +351,14 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Data
                         pieces.append(data[at_byte:i])
                         at_byte = j
                     sizes.append(len(data))
-                    kept.append(b"".join([*pieces, data[at_byte:]]))
+                    left = b"".join([*pieces, data[at_byte:]])
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
                     cut.append([{"low": i, "high": j} for i, j in runs])
                 yield batch(arrow, *part.columns[:n], sizes, kept, cut)
 
     return rows.mapInArrow(apply, schema)
 
 
-def as_text(kept: str) -> Column:
-    """Bytes as text, without characters that have lost a part of their bytes."""
-    def decoded(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return F.pandas_udf(decoded, StringType())(F.col(kept))
-
-
 def digests(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", F.expr("n_bytes - octet_length(kept)").alias("n_removed"),
                           F.expr("cast(size(spans) as bigint)").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
