@@ -26,9 +26,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that an earlier place holds go; a character that loses a part of its bytes goes whole."""
-    names = docs.columns
-    cleaned = repeats.remove_repeats(docs, tuple(c for c in names if c != "text")).withColumn("text", repeats.as_text("kept"))
-    return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(*names)
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), "doc_id", "text")
+    cleaned = repeats.remove_repeats(rows, ("_row",), as_text=True).select("_row.*", F.col("kept").alias("text"))
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
