@@ -123,19 +123,6 @@ def _(s):
     return AG.aging_min_max(s.receipts.join(s.article, "sku"), ["store_id", "article"], "2001-12-15")
 
 
-ART_MONTHS = range(1, 13)
-
-
-@query("article_count_flags", f"""
-    SELECT store_id, article, {", ".join(f"CAST(SUM(CASE WHEN move_date < DATE '1997-{m:02d}-01' THEN qty ELSE 0 END) > 1 AS INTEGER) AS art_{m:02d}" for m in ART_MONTHS)},
-           SUM(qty) > 1 AS art_at
-    FROM movement JOIN article USING (sku) WHERE move_date < DATE '1998-01-01' GROUP BY store_id, article""")
-def _(s):
-    from hangtally.plans.stock_reports import article_count_flags
-    stock = ST.month_stock_wide(s.between(None, "1997-12-31").movement, 1997)
-    return article_count_flags(stock, s.article)
-
-
 @query("returns_by_year", """
     SELECT store_id, sku, -SUM(qty) AS qty FROM movement WHERE stat = 'retur' AND YEAR(move_date) = 1998 GROUP BY store_id, sku""")
 def _(s):

@@ -12,12 +12,12 @@ from hangtally.catalog.registry import half_even, pct, query
 from hangtally.catalog.scalar import PRICE_CATEGORY, PRICE_EVENT
 from hangtally.catalog.sizes import cells, plus, status_sql
 from hangtally.catalog.stocktaking import ASOF, ON_HAND, on_hand
-from hangtally.operators import outstanding as O
 from hangtally.operators import sales as S
 from hangtally.operators.aging import receipt_aging
 from hangtally.plans import dashboard as D
 from hangtally.plans import masters as MA
 from hangtally.plans import sales_mart as SM
+from hangtally.sources.readers import within_months
 
 # ---- sales marts -----------------------------------------------------------
 
@@ -221,7 +221,8 @@ def _(s):
            CAST(DATE_DIFF('day', MAX(move_date), DATE '{ASOF}') AS INTEGER) AS aging FROM d GROUP BY store_id, article""",
        dates=["first_receipt", "last_receipt"])
 def _(s):
-    return receipt_aging(s.between(None, ASOF).receipts.join(s.article, "sku"), ["store_id", "article"], ASOF)
+    receipts = within_months(s.ledger, "move_date", None, ASOF).where(F.col("stat") == K.RECEIVE)
+    return receipt_aging(receipts.join(s.article, "sku"), ["store_id", "article"], ASOF)
 
 
 OPEN = """
@@ -231,22 +232,14 @@ OPEN = """
                 WHERE d.status = 'F' AND flag = 'R' AND NOT EXISTS (SELECT 1 FROM receiving r WHERE r.doc_id = d.doc_id))"""
 
 
-def open_lines(s):
-    orders = O.outstanding(s.delivery, s.delivery_line, s.receiving, ["store_id", "sku"], "qty")
-    moves = O.outstanding(s.delivery, s.delivery_line.where("flag = 'R'"), s.receiving, ["store_id", "sku"], "qty")
-    return orders, moves.withColumn("store_id", F.col("store_id") + 1)
+def deliveries(s):
+    return D.delivery_cells(s.delivery, s.delivery_line, s.receiving)
 
 
 def movements(s) -> D.Movements:
-    sent = F.col("status") != K.VOID
-    orders = s.delivery_line.join(s.delivery, "doc_id").select(
-        "store_id", "sku", F.col("delivery_date").alias("order_date"), F.col("qty").alias("ordered_qty"),
-        F.when(sent, F.col("input_date")).alias("delivery_date"), F.when(sent, F.col("qty")).otherwise(0.0).alias("delivered_qty"))
-    open_orders, open_transfers = open_lines(s)
-    upto = s.between(None, ASOF)
-    returns = upto.kind("R", "O").withColumn("qty", -F.col("qty"))
-    return D.Movements(on_hand=on_hand(s), receipts=upto.receipts, sales=s.between("2000-03-19", ASOF).sales_line, returns=returns,
-                       transfers=upto.kind("R", "F"), orders=orders, open_orders=open_orders, open_transfers=open_transfers)
+    upto = within_months(s.ledger, "move_date", None, ASOF)
+    return D.Movements(on_hand=on_hand(s), receipts=upto.where(F.col("stat") == K.RECEIVE), sales=s.between("2000-03-19", ASOF).sales_line,
+                       moved=upto, deliveries=deliveries(s))
 
 
 BY_ARTICLE = f"""{ON_HAND}, {OPEN},
@@ -300,7 +293,7 @@ def _(s):
     SELECT store_id, sku, SUM(q) AS stock_future FROM (SELECT store_id, sku, stocks AS q FROM on_hand UNION ALL SELECT * FROM open_do
       UNION ALL SELECT * FROM open_dm) AS x GROUP BY store_id, sku""")
 def _(s):
-    return D.stock_mobile(on_hand(s), *open_lines(s), s.article).select("store_id", "sku", "stock_future")
+    return D.stock_future(on_hand(s), deliveries(s)).select("store_id", "sku", "stock_future")
 
 
 @query("stock_mobile", f"""
@@ -311,7 +304,7 @@ def _(s):
            COALESCE(stocks, 0) + COALESCE(open_orders, 0) + COALESCE(open_transfers, 0) AS stock_future, article, size, brand, price
     FROM on_hand FULL JOIN a USING (store_id, sku) FULL JOIN b USING (store_id, sku) LEFT JOIN article USING (sku)""")
 def _(s):
-    return D.stock_mobile(on_hand(s), *open_lines(s), s.article)
+    return D.stock_mobile(on_hand(s), deliveries(s), s.article)
 
 
 @query("category_summary", f"""

@@ -9,6 +9,7 @@ from hangtally.functions import in_year
 from hangtally.operators import ledger as L
 from hangtally.operators import stock as ST
 from hangtally.operators import warehouse as W
+from hangtally.sources.versions import written
 
 LINES = """
     line AS (SELECT h.*, l.sku, l.qty, l.stock_qty, l.line_status, l.line_cancel_date, l.cancelled_by, l.kind, l.family
@@ -34,20 +35,23 @@ DATED = " UNION ALL ".join([
     branch("MT", "b_mutasi", "qty", "family = 'RF' AND line_status = 'F'"),
     branch("MT", "mutasi", "-qty", "family = 'RF' AND NOT foreign_prefix"),
 ])
-DAY = "DATE '1997-06-13'"
-TODAY = " UNION ALL ".join([
-    branch("RC", "receive", "qty", f"family = 'NO' AND status <> 'F' AND input_date = {DAY}"),
-    branch("AD", "adj_in", "qty", f"family = 'NF' AND status = 'X' AND kind = 'I' AND cancelled_by IS NULL AND input_date = {DAY}"),
-    branch("AD", "adj_out", "-qty", f"family = 'NF' AND status = 'X' AND kind = 'O' AND cancelled_by IS NULL AND input_date = {DAY}"),
-    branch("PJ", "b_penjualan", "qty", f"family IN ('AO', 'AF') AND line_status = 'F' AND line_cancel_date = {DAY}"),
-    branch("PJ", "penjualan", "-qty", f"family IN ('AO', 'AF') AND NOT foreign_prefix AND line_cancel_date IS NULL AND input_date = {DAY}"),
-    branch("RT", "b_retur", "qty", f"family = 'RO' AND line_status = 'F' AND line_cancel_date = {DAY}"),
-    branch("RT", "b_retur2", "stock_qty - qty", f"family = 'RO' AND cancelled_by IS NOT NULL AND line_cancel_date = {DAY}"),
-    branch("RT", "retur", "-qty", f"family = 'RO' AND NOT foreign_prefix AND input_date = {DAY}"),
-    branch("MT", "b_mutasi", "qty", f"family = 'RF' AND line_status = 'F' AND cancel_date = {DAY}"),
-    branch("MT", "b_mutasi2", "stock_qty - qty", f"family = 'RF' AND cancelled_by IS NOT NULL AND line_cancel_date = {DAY}"),
-    branch("MT", "mutasi", "-qty", f"family = 'RF' AND NOT foreign_prefix AND input_date = {DAY}"),
-])
+
+
+def today_sql(asof: str) -> str:
+    day = f"DATE '{asof}'"
+    return " UNION ALL ".join([
+        branch("RC", "receive", "qty", f"family = 'NO' AND status <> 'F' AND input_date = {day}"),
+        branch("AD", "adj_in", "qty", f"family = 'NF' AND status = 'X' AND kind = 'I' AND cancelled_by IS NULL AND input_date = {day}"),
+        branch("AD", "adj_out", "-qty", f"family = 'NF' AND status = 'X' AND kind = 'O' AND cancelled_by IS NULL AND input_date = {day}"),
+        branch("PJ", "b_penjualan", "qty", f"family IN ('AO', 'AF') AND line_status = 'F' AND line_cancel_date = {day}"),
+        branch("PJ", "penjualan", "-qty", f"family IN ('AO', 'AF') AND NOT foreign_prefix AND line_cancel_date IS NULL AND input_date = {day}"),
+        branch("RT", "b_retur", "qty", f"family = 'RO' AND line_status = 'F' AND line_cancel_date = {day}"),
+        branch("RT", "b_retur2", "stock_qty - qty", f"family = 'RO' AND cancelled_by IS NOT NULL AND line_cancel_date = {day}"),
+        branch("RT", "retur", "-qty", f"family = 'RO' AND NOT foreign_prefix AND input_date = {day}"),
+        branch("MT", "b_mutasi", "qty", f"family = 'RF' AND line_status = 'F' AND cancel_date = {day}"),
+        branch("MT", "b_mutasi2", "stock_qty - qty", f"family = 'RF' AND cancelled_by IS NOT NULL AND line_cancel_date = {day}"),
+        branch("MT", "mutasi", "-qty", f"family = 'RF' AND NOT foreign_prefix AND input_date = {day}"),
+    ])
 
 
 @query("union_ledger", f"WITH {LINES} {DATED}", dates=["move_date"])
@@ -71,7 +75,7 @@ def _(s):
 
 
 @query("ledger_today", f"""
-    WITH {LINES}, rows_ AS ({TODAY})
+    WITH {LINES}, rows_ AS ({today_sql('1997-06-13')})
     SELECT store_id, sku, move_date, doc_no, stat, SUM(qty) AS qty FROM rows_ GROUP BY store_id, sku, move_date, doc_no, stat""",
        dates=["move_date"])
 def _(s):
@@ -86,7 +90,8 @@ def _(s):
 def _(s):
     windows = s.doc_header.groupBy("store_id").agg(F.date_add(F.min("doc_date"), 180).alias("start_date"),
                                                    F.date_sub(F.max("doc_date"), 180).alias("end_date"))
-    return ST.ledger_in_windows(L.movement_rows(s.docs), windows)
+    ledger = s.derived("document-ledger", lambda own: L.net(L.movement_rows(own.docs)), "move_date")
+    return ST.ledger_in_windows(ledger, written(windows, "windows"))
 
 
 @query("returns_ledger", f"""

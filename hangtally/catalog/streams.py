@@ -14,5 +14,7 @@ from hangtally.streaming import intraday as I
 def _(s):
     stream = I.stream_lines(s.spark, s.folder, s.raw("events").schema, glob="events.parquet")
     base = scratch_path(s.spark, "intraday")
-    I.start(Standins.intraday_of(stream), f"{base}/lines", f"{base}/checkpoint", once=True).awaitTermination()
-    return I.day_ledger(I.current_lines(s.spark, f"{base}/lines"))
+    log = I.DayLog(s.spark, f"{base}/lines")
+    I.start(Standins.intraday_of(stream), log, f"{base}/checkpoint", once=True).awaitTermination()
+    log.fold()
+    return I.day_ledger(log.current_lines())

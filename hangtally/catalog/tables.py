@@ -13,6 +13,7 @@ from hangtally.operators.ledger import net, union_rows
 from hangtally.operators.numbering import number_rows
 from hangtally.operators.upsert import merge_upsert, merge_upsert_columns
 from hangtally.session import scratch_path
+from hangtally.sources.keyed import KeyedTable
 from hangtally.sources.readers import read_snapshots, snapshot_labels
 
 
@@ -62,6 +63,24 @@ def _(s):
     return merge_upsert(order_rows(s.between(None, "1999-12-31")), changed_orders(s, "1999-07-01"), ["doc_id"])
 
 
+@query("keyed_upsert", f"""
+    WITH old AS ({UPSERT_OLD} WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
+    new AS (SELECT doc_id, status, CASE WHEN doc_id % 10 = 0 THEN doc_total * 2 ELSE doc_total END AS doc_total, doc_date
+            FROM ({UPSERT_OLD}) AS x WHERE doc_date >= DATE '1999-07-01'),
+    merged AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE doc_id NOT IN (SELECT doc_id FROM new))
+    SELECT doc_id, status, CASE WHEN doc_date >= DATE '2001-01-01' THEN doc_total / 2 ELSE doc_total END AS doc_total, doc_date FROM merged""",
+       dates=["doc_date"])
+def _(s):
+    """Whole rows, then one column, into the kept table; the second change starts at the mark of its list."""
+    before = order_rows(s.between(None, "1999-12-31"))
+    table = KeyedTable(s.spark, scratch_path(s.spark, "orders"), before.schema, ["doc_id"], "doc_date", 16)
+    table.create(before)
+    table.upsert(changed_orders(s, "1999-07-01"))
+    halved = table.rows().where("doc_date >= date'2001-01-01'").select("doc_id", (F.col("doc_total") / 2).alias("doc_total"))
+    table.upsert(halved, ["doc_total"])
+    return table.rows()
+
+
 @query("merge_upsert_columns", f"""
     WITH old AS ({UPSERT_OLD} WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
     new AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN doc_total * 2 ELSE doc_total END AS doc_total
@@ -121,7 +140,12 @@ def _(s):
     UNION ALL
     SELECT * FROM fresh""", dates=["input_date"])
 def _(s):
-    return O.refresh_outstanding(open_lines(s), stored_lines(s), "pk_id", "input_date")
+    """The refresh on the kept table: marks from its list, the source read once, only touched buckets written."""
+    before = stored_lines(s)
+    table = KeyedTable(s.spark, scratch_path(s.spark, "outstanding"), before.schema, ["pk_id"], "input_date", 16)
+    table.create(before)
+    table.refresh(open_lines(s))
+    return table.rows()
 
 
 @query("pk_violations", """

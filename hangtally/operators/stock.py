@@ -88,7 +88,7 @@ def ledger_in_windows(movements: DataFrame, starts: DataFrame) -> DataFrame:
     a store with a third of all rows is worked on by many tasks; the sum after the join
     uses the same partitioning.
     """
-    daily = movements.groupBy("store_id", "sku", "move_date").agg(F.sum("qty").alias("qty"))
+    daily = in_months(movements, starts).groupBy("store_id", "sku", "move_date").agg(F.sum("qty").alias("qty"))
     windows = starts.select("store_id", "start_date", "end_date")
     hits, piece = spread_join(daily, windows, "store_id", "sku")
     return (hits.where("move_date between start_date and end_date")
@@ -96,12 +96,43 @@ def ledger_in_windows(movements: DataFrame, starts: DataFrame) -> DataFrame:
             .drop(piece))
 
 
+def months_of(windows: DataFrame) -> DataFrame:
+    """The months (``yyyy-MM``) that any window of ``windows`` touches."""
+    first, last = F.trunc("start_date", "MM"), F.trunc("end_date", "MM")
+    return (windows.where("start_date <= end_date").select(F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("_d"))
+            .select(F.date_format("_d", "yyyy-MM").alias("month")).distinct())
+
+
+def in_months(movements: DataFrame, windows: DataFrame) -> DataFrame:
+    """Movements of the months that the windows touch. Where the ledger is partitioned by its column ``month``, folders of
+    other months are not read: the few months are known at run time and prune the scan."""
+    if "month" not in movements.columns:
+        return movements
+    return movements.join(months_of(windows), "month", "left_semi")
+
+
+def ledger_at_ends(movements: DataFrame, starts: DataFrame, ends: Sequence[str]) -> DataFrame:
+    """Movement sum per store, SKU and end date, from each store's start for that end, in one pass for all ends.
+
+    A store's starts for all ends stand in one row, so a movement is met once and not once per end.
+    """
+    windows = starts.groupBy("store_id").agg(*[F.max(F.when(F.col("end_date") == day(e), F.col("start_date"))).alias(f"_s{i}")
+                                               for i, e in enumerate(ends)])
+    daily = in_months(movements, starts).groupBy("store_id", "sku", "move_date").agg(F.sum("qty").alias("qty"))
+    hits, piece = spread_join(daily, windows, "store_id", "sku")
+    inside = [F.when(F.col("move_date").between(F.col(f"_s{i}"), day(e)), F.col("qty")) for i, e in enumerate(ends)]
+    sums = hits.groupBy("store_id", piece, "sku").agg(*[F.sum(c).alias(f"_q{i}") for i, c in enumerate(inside)])
+    cells = F.array(*[F.struct(day(e).alias("end_date"), F.col(f"_q{i}").alias("qty")) for i, e in enumerate(ends)])
+    return sums.select("store_id", "sku", F.inline(F.filter(cells, lambda c: c["qty"].isNotNull())))
+
+
 def stock_at(counts: DataFrame, openings: DataFrame, movements: DataFrame, stores: DataFrame,
              today: str, ends: Sequence[str],
-             drop_zero_stores: Sequence[int] = tuple(K.ZERO_DROP_STORES)) -> DataFrame:
+             drop_zero_stores: Sequence[int] = tuple(K.ZERO_DROP_STORES), starts: DataFrame | None = None) -> DataFrame:
     """Stock per store, SKU and month end, labelled with the month it opens."""
-    starts = last_count_dates(counts, openings, stores, today, ends)
-    total = (union_rows([opening_stock(counts, openings, starts), ledger_in_windows(movements, starts)])
+    if starts is None:
+        starts = last_count_dates(counts, openings, stores, today, ends)
+    total = (union_rows([opening_stock(counts, openings, starts), ledger_at_ends(movements, starts, ends)])
              .groupBy("store_id", "sku", "end_date").agg(F.sum("qty").alias("qty")))
     opens = F.when(F.col("end_date") == F.last_day("end_date"), F.date_add("end_date", 1)).otherwise(F.col("end_date"))
     return (total.where(~(F.col("store_id").isin(list(drop_zero_stores)) & (F.col("qty") == 0)))
@@ -172,14 +203,16 @@ def latest_one(df: DataFrame, key: str, date: str, columns: Sequence[str]) -> Da
 
 # ---- monthly wide tables ---------------------------------------------------
 
-def month_stock_wide(movements: DataFrame, year: int) -> DataFrame:
-    """Stock on the first day of each month of the year, and of the next January."""
-    cells = []
-    for m in range(1, 14):
-        first = f"date'{year + m // 13}-{(m - 1) % 12 + 1:02d}-01'"
-        cells.append(F.expr(f"coalesce(sum(case when move_date < {first} then qty end), 0D) as stock_{m:02d}"))
-    return (movements.where(F.col("move_date") < day(f"{year + 1}-01-01"))
-            .groupBy("store_id", "sku").agg(*cells))
+def year_ends(year: int) -> list[str]:
+    """The month ends whose snapshots open the months of the year and the January after it."""
+    return month_ends(f"{year}-12-31", 13)
+
+
+def month_stock_wide(snapshots: DataFrame, year: int) -> DataFrame:
+    """Stock at the begin of each month of the year, and of the next January, from snapshots (store_id, sku, end_date, qty)."""
+    cells = [F.expr(f"coalesce(sum(case when end_date = date'{e}' then qty end), 0D) as stock_{m:02d}")
+             for m, e in enumerate(year_ends(year), 1)]
+    return snapshots.groupBy("store_id", "sku").agg(*cells)
 
 
 def sell_through(stock: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:

@@ -27,20 +27,38 @@ class Movements:
     on_hand: DataFrame          # stocks instead of qty
     receipts: DataFrame         # with move_date
     sales: DataFrame
-    returns: DataFrame
-    transfers: DataFrame
-    orders: DataFrame           # ordered_qty, order_date, delivered_qty, delivery_date
-    open_orders: DataFrame
-    open_transfers: DataFrame
+    moved: DataFrame            # with stat
+    deliveries: DataFrame       # delivery_cells
+
+
+DELIVERY = "store_id bigint, ordered_qty double, order_date date, delivered_qty double, delivery_date date, open_orders double, open_transfers double"
+
+
+def delivery_cells(deliveries: DataFrame, lines: DataFrame, received: DataFrame) -> DataFrame:
+    """All measures of deliveries from one pass over their lines.
+
+    A line gives its store what was ordered and sent and, where the document has not arrived, what is open; an open transfer
+    (flag R) gives the store it goes to, the next one, a cell of its own. Whether a document has arrived is one flag.
+    """
+    arrived = received.select("doc_id").distinct().withColumn("_arrived", F.lit(True))
+    rows = lines.join(deliveries, "doc_id").join(arrived, "doc_id", "left")
+    sent, waits = F.col("status") != K.VOID, (F.col("status") == K.VOID) & F.col("_arrived").isNull()
+    qty, none = F.col("qty").cast("double"), F.lit(None)
+    own = F.struct("store_id", qty, "delivery_date", F.when(sent, qty).otherwise(0.0), F.when(sent, F.col("input_date")), F.when(waits, qty), none)
+    there = F.when(waits & (F.col("flag") == "R"), F.struct(F.col("store_id") + 1, none, none, none, none, none, qty))
+    cell = f"struct<{DELIVERY.replace(' ', ':').replace(',:', ',')}>"
+    cells = F.array(own.cast(cell), there.cast(cell))
+    return rows.select("sku", F.inline(F.filter(cells, lambda c: c.isNotNull())))
 
 
 def _measures(m: Movements) -> list[DataFrame]:
-    one = lambda df, name: df.select("store_id", "sku", F.col("qty").cast("double").alias(name))
+    kind = lambda stat, qty, name: F.when(F.col("stat") == stat, qty).cast("double").alias(name)
     return [
         m.on_hand.select("store_id", "sku", "stocks", F.lit(1).alias("has_stock")),
-        one(m.sales, "sales"), one(m.returns, "returned"), one(m.transfers, "transferred"),
-        one(m.open_orders, "open_orders"), one(m.open_transfers, "open_transfers"),
-        m.orders.select("store_id", "sku", "ordered_qty", "order_date", "delivered_qty", "delivery_date"),
+        m.sales.select("store_id", "sku", F.col("qty").cast("double").alias("sales")),
+        m.moved.where(F.col("stat").isin(K.RETURN, K.TRANSFER)).select(
+            "store_id", "sku", kind(K.RETURN, -F.col("qty"), "returned"), kind(K.TRANSFER, F.col("qty"), "transferred")),
+        m.deliveries,
     ]
 
 
@@ -99,17 +117,21 @@ def return_candidates(detail: DataFrame) -> DataFrame:
     return detail.select(*[f"`{c}`" for c in RETURN_COLUMNS])
 
 
-def stock_mobile(on_hand: DataFrame, open_orders: DataFrame, open_transfers: DataFrame, articles: DataFrame) -> DataFrame:
+def stock_future(on_hand: DataFrame, deliveries: DataFrame) -> DataFrame:
     """SKU level: stock on hand and on its way; SKUs that are only on their way show too."""
+    coming = deliveries.where("open_orders is not null or open_transfers is not null")
     rows = union_rows([
         on_hand.select("store_id", "sku", F.col("stocks").alias("sum_qty")),
-        open_orders.select("store_id", "sku", F.col("qty").alias("open_orders")),
-        open_transfers.select("store_id", "sku", F.col("qty").alias("open_transfers")),
+        coming.select("store_id", "sku", "open_orders", "open_transfers"),
     ], allow_missing=True)
     measures = ["sum_qty", "open_orders", "open_transfers"]
     sums = rows.groupBy("store_id", "sku").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in measures])
-    return (sums.withColumn("stock_future", F.col("sum_qty") + F.col("open_orders") + F.col("open_transfers"))
-            .join(articles.select("sku", "article", "size", "brand", "price"), "sku", "left"))
+    return sums.withColumn("stock_future", F.col("sum_qty") + F.col("open_orders") + F.col("open_transfers"))
+
+
+def stock_mobile(on_hand: DataFrame, deliveries: DataFrame, articles: DataFrame) -> DataFrame:
+    """Future stock with the SKU's article."""
+    return stock_future(on_hand, deliveries).join(articles.select("sku", "article", "size", "brand", "price"), "sku", "left")
 
 
 def category_summary(measures: DataFrame, info: DataFrame, old_days: int = K.OLD_STOCK_DAYS) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hangtally.functions import surrogate_key
 from hangtally.operators import sizerun as G
 from hangtally.operators import stock as ST
+from hangtally.sources.versions import written
 
 
 def article_count_flags(stock: DataFrame, articles: DataFrame) -> DataFrame:
@@ -25,6 +26,7 @@ def report_by_store(table: DataFrame, articles: DataFrame, stores: DataFrame, ye
     """Sell-through of every store and SKU with the size-run status of its article."""
     rows = (table.join(articles.select("sku", "article", "size_class"), "sku")
             .join(stores.select("store_id", "store_code", "store_name"), "store_id", "left"))
+    rows = written(rows, "report-rows")   # read for the status and for the report
     status = G.run_status(G.size_pivot(rows, ["store_id", "article"], "stock_at")).select("store_id", "article", "status")
     out = (rows.join(status, ["store_id", "article"], "left")
            .withColumn("pk_id", surrogate_key("store_id", "sku"))
@@ -51,7 +53,7 @@ def report_total(last: DataFrame, this: DataFrame, warehouse: DataFrame, article
     both = both.fillna(0.0)
     both = both.withColumn("total sales qty", F.col("_sales_old") + F.col("_sales_new")).drop("_sales_old", "_sales_new")
     both = both.withColumn("total stock", F.col("total sales qty") + F.col("stock akhir"))
-    rows = both.join(articles.select("sku", "article", "size", "size_class"), "sku")
+    rows = written(both.join(articles.select("sku", "article", "size", "size_class"), "sku"), "report-rows")
     status = G.run_status(G.size_pivot(rows, ["article"], "stock akhir")).select("article", "status")
     return rows.join(status, "article", "left").withColumnsRenamed({"article": "artikel", "size_class": "bot/top"})
 

@@ -32,6 +32,20 @@ def read_year(spark: SparkSession, path: str, year: int) -> DataFrame:
     return spark.read.parquet(path).where(F.col("year") == year)
 
 
+def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by ``sinks.write_months``; ``schema`` is that of its rows."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("month", T.StringType())])).parquet(path)
+
+
+def within_months(df: DataFrame, date: str, lo: str | None, hi: str | None) -> DataFrame:
+    """Rows between two days; only the folders of their months are read."""
+    if lo:
+        df = df.where((F.col("month") >= lo[:7]) & (F.col(date) >= F.lit(lo).cast("date")))
+    if hi:
+        df = df.where((F.col("month") <= hi[:7]) & (F.col(date) <= F.lit(hi).cast("date")))
+    return df
+
+
 def snapshot_labels(start_year: int, end_year: int) -> list[str]:
     """Month labels of the years and the January after them, each once."""
     from hangtally.constants import MONTH_NAMES

@@ -27,6 +27,11 @@ def overwrite(df: DataFrame, *paths: str, partition_by: Sequence[str] = ()) -> N
         df.unpersist()
 
 
+def write_months(df: DataFrame, date: str, path: str) -> None:
+    """One Parquet folder per month, ``month=yyyy-MM``."""
+    rebalanced(df.withColumn("month", F.date_format(date, "yyyy-MM")), ["month"]).write.partitionBy("month").parquet(path)
+
+
 def export_by_month(df: DataFrame, date: str, path: str) -> None:
     """One CSV folder per year and month."""
     parts = ["year", "month"]

@@ -7,13 +7,21 @@ Dates can be limited on the raw column (``between``), so that the limit reaches
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hangtally import constants as K
-from hangtally.operators.ledger import Documents, Family
+from hangtally.operators.ledger import Documents, Family, net
+from hangtally.operators.skus import numbered, sku_dictionary
+from hangtally.session import scratch_path
+from hangtally.sources.readers import read_months
+from hangtally.sources.sinks import write_months
+
+#: Folders of tables derived once per session, input folder and name.
+_DERIVED: dict[tuple[str, str, str], str] = {}
 
 VIEWS: dict[str, str] = {
     "store": """
@@ -175,6 +183,60 @@ class Standins:
             df = df.where(F.col(date) < (F.date_add(F.lit(self.hi).cast("date"), 1)).cast("timestamp_ntz"))
         return df
 
+    def derived(self, name: str, build: Callable[["Standins"], DataFrame], date: str | None = None) -> DataFrame:
+        """A table built from the whole input once per session and kept in the shared folder, by month where ``date`` is given."""
+        frame = build(Standins(self.spark, self.folder, tables=self._tables))
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _DERIVED:
+            path = scratch_path(self.spark, name)
+            write_months(frame, date, path) if date else frame.write.parquet(path)
+            _DERIVED[key] = path
+        return read_months(self.spark, _DERIVED[key], frame.schema) if date else self.spark.read.schema(frame.schema).parquet(_DERIVED[key])
+
+    # ---- ingestion: SKU texts become numbers, movements become a ledger by month ----
+
+    @property
+    def article_code(self) -> DataFrame:
+        k = F.col("p_partkey")
+        return self.raw("part").select(k.alias("sku"), F.when(k == 1, "BBRD103V042333").otherwise(F.concat(F.lit("SKU"), k.cast("string"))).alias("code"))
+
+    def with_sku_text(self, df: DataFrame, spelling: Column) -> DataFrame:
+        """``df`` with its SKU spelled as source systems do: in other case, with blanks, and one wrongly."""
+        code = F.when(F.col("sku") == 1, "BBRD103V042333").otherwise(F.concat(F.lit("SKU"), _text("sku")))
+        text = (F.when((spelling == 0) & (F.col("sku") == 1), F.concat(code, F.lit("-"))).when(spelling == 1, F.lower(code))
+                .when(spelling == 2, F.concat(F.lit(" "), code, F.lit(" "))).when(spelling == 3, F.initcap(code)).otherwise(code))
+        return df.withColumn("sku_text", text).drop("sku")
+
+    @property
+    def movement_text(self) -> DataFrame:
+        return self.with_sku_text(self.movement, F.col("doc_id") % 5)
+
+    @property
+    def stock_count_text(self) -> DataFrame:
+        return self.with_sku_text(self.stock_count, F.col("store_id") % 5)
+
+    @property
+    def opening_balance_text(self) -> DataFrame:
+        return self.with_sku_text(self.opening_balance, (F.col("store_id") + F.col("qty").cast("long")) % 5)
+
+    @property
+    def sku_numbers(self) -> DataFrame:
+        texts = lambda s: [t.select("sku_text") for t in (s.movement_text, s.stock_count_text, s.opening_balance_text)]
+        return self.derived("sku-numbers", lambda s: sku_dictionary(texts(s), s.article_code))
+
+    @property
+    def ledger(self) -> DataFrame:
+        """Movements by store, SKU, date and kind, in folders by month."""
+        return self.derived("month-ledger", lambda s: net(numbered(s.movement_text, s.sku_numbers)), "move_date")
+
+    @property
+    def counted(self) -> DataFrame:
+        return self.derived("stock-counts", lambda s: numbered(s.stock_count_text, s.sku_numbers))
+
+    @property
+    def opened(self) -> DataFrame:
+        return self.derived("opening-balances", lambda s: numbered(s.opening_balance_text, s.sku_numbers))
+
     @cached_property
     def orders(self) -> DataFrame:
         return self._dated("orders", "o_orderdate")

@@ -1,20 +1,29 @@
 """Today's ledger kept current from a stream of document lines.
 
-Every micro-batch writes its own lines to a folder named after the batch, split by input
-day.  A repeated batch overwrites the same folder, and a line that arrives again in a
-later batch replaces its older version when the ledger is read, so replays and corrected
-lines leave the sums right.  No state is kept in memory and no late line is dropped; a
-refresh reads only the folders of the wanted days.
+Lines are kept in a log-structured way, one part per input day: a *base* with the newest version of every line folded
+so far, and *deltas*, the lines of one micro-batch each. A batch adds its deltas to the list of versions under its own number, so
+a batch that runs again replaces its own and nothing is counted twice. Folding a day merges its base and deltas into a new base;
+the list then names that base alone, and readers of the older list keep the folders they know. A refresh of a day reads one base
+and the deltas that are still open.
+
+Of several versions of a line the latest input time wins, wherever it stands, so replays, late and corrected lines and any
+order of folding leave the sums right. A corrected line keeps its input day; the day is its part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from hangtally.sources.versions import Versions
+
 LINE_COLUMNS = ["line_id", "store_id", "sku", "move_date", "stat", "qty", "input_ts"]
+LINES = "line_id bigint, store_id bigint, sku bigint, move_date date, stat string, qty double, input_ts timestamp_ntz, batch bigint"
+BASE, DELTA = "base", "delta"
+#: Batches a base remembers as folded into it; a batch that runs again is one of the last.
+REMEMBERED = 100
 
 
 def stream_lines(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000,
@@ -25,33 +34,67 @@ def stream_lines(spark: SparkSession, path: str, schema: T.StructType, files_per
     return reader.parquet(path)
 
 
-def write_batch(lines_path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(*LINE_COLUMNS, F.to_date("input_ts").alias("input_day"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("input_day").parquet(f"{lines_path}/batch_id={batch_id}"))
-    return write
+def newest(lines: DataFrame) -> DataFrame:
+    """The newest version of every line: the latest input time, then the latest batch."""
+    rest = [c for c in [*LINE_COLUMNS, "input_day"] if c not in ("line_id", "input_ts")]
+    version = F.max(F.struct("input_ts", "batch", *rest)).alias("_l")
+    return lines.groupBy("line_id").agg(version).select("line_id", "_l.*")
+
+
+class DayLog:
+    """The lines under ``root``. ``fold_at``: deltas of a day from which the batch that adds the last folds the day."""
+
+    def __init__(self, spark: SparkSession, root: str, fold_at: int = 30):
+        self.table = Versions(spark, root, LINES, "input_day")
+        self.fold_at = fold_at
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        number, entries = self.table.current()
+        if any(e["kind"] == BASE and str(batch_id) in e["tag"].split() for e in entries):
+            # the batch was folded before it ran again: its lines stand in the bases of the days it had
+            held = {e["part"] for e in entries if e["kind"] == BASE and str(batch_id) in e["tag"].split()}
+            batch = batch.where(~F.to_date("input_ts").cast("string").isin(list(held)))
+        rows = batch.select(*LINE_COLUMNS, F.lit(batch_id).cast("bigint").alias("batch"), F.to_date("input_ts").alias("input_day"))
+        new = self.table.write(rows, kind=DELTA, tag=str(batch_id))
+        kept = [e for e in entries if not (e["kind"] == DELTA and e["tag"] == str(batch_id))]
+        self.table.commit(number, [*kept, *new])
+        waiting = {}
+        for e in [*kept, *new]:
+            if e["kind"] == DELTA:
+                waiting[e["part"]] = waiting.get(e["part"], 0) + 1
+        if full := [d for d in {e["part"] for e in new} if waiting[d] >= self.fold_at]:
+            self.fold(full)
 
+    def fold(self, days: list[str] | None = None) -> list[str]:
+        """Merges base and deltas of some days, or of all that have deltas; the days folded."""
+        number, entries = self.table.current()
+        open_ = {e["part"] for e in entries if e["kind"] == DELTA and (days is None or e["part"] in days)}
+        if not open_:
+            return []
+        mine = [e for e in entries if e["part"] in open_]
+        new = self.table.write(self._newest(mine), kind=BASE)
+        tags = {d: " ".join(sorted({t for e in mine if e["part"] == d for t in e["tag"].split()}, key=int)[-REMEMBERED:]) for d in open_}
+        new = [Row(**{**e.asDict(), "tag": tags[e["part"]]}) for e in new]
+        self.table.commit(number, [*(e for e in entries if e["part"] not in open_), *new])
+        return sorted(open_)
 
-def start(lines: DataFrame, lines_path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    def _newest(self, entries: list[Row]) -> DataFrame:
+        lines = self.table.read(entries, with_part=True).withColumn("input_day", F.to_date("input_day"))
+        return newest(lines)
+
+    def current_lines(self, day: str | None = None) -> DataFrame:
+        """The newest version of every line, optionally of one input day; other days' folders are not opened."""
+        entries = [e for e in self.table.current()[1] if day is None or e["part"] == day]
+        return self._newest(entries).drop("batch")
+
+
+def start(lines: DataFrame, log: DayLog, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Run the stream every two minutes, or once over what is there."""
-    writer = (lines.writeStream.foreachBatch(write_batch(lines_path))
-              .option("checkpointLocation", checkpoint))
+    writer = lines.writeStream.foreachBatch(log.write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 minutes")
     return writer.start()
 
 
-def current_lines(spark: SparkSession, lines_path: str, day: str | None = None) -> DataFrame:
-    """The newest version of every line, optionally of one input day."""
-    df = spark.read.option("basePath", lines_path).parquet(f"{lines_path}/batch_id=*")
-    if day is not None:
-        df = df.where(F.col("input_day") == F.lit(day).cast("date"))
-    rest = [c for c in LINE_COLUMNS if c not in ("line_id", "input_ts")]
-    # the time of input decides, so the result does not depend on how files fell into batches
-    newest = F.max(F.struct("input_ts", "batch_id", "input_day", *rest)).alias("_l")
-    return df.groupBy("line_id").agg(newest).select("line_id", "_l.*").drop("batch_id")
-
-
 def day_ledger(lines: DataFrame) -> DataFrame:
     """Sum by store, SKU, date and kind for every input day."""
     return (lines.groupBy("input_day", "store_id", "sku", "move_date", "stat")

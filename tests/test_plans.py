@@ -9,7 +9,7 @@ from hangtally.catalog import QUERIES
 from hangtally.session import scratch_path
 
 FOLDER = "/root/testdata/sf0.001"
-RUNS_JOBS = {"demand_features", "demand_linear_coefficients", "demand_forecast", "intraday_ledger_stream", "snapshot_files_union"}
+RUNS_JOBS = {"month_snapshot_chain", "demand_features", "demand_linear_coefficients", "demand_forecast", "intraday_ledger_stream", "snapshot_files_union"}
 
 
 def plan(spark, name, mode="simple"):
@@ -41,6 +41,20 @@ def test_one_shuffle_and_hash_aggregate(spark, name):
     assert len(re.findall("Exchange hashpartitioning", text)) == 1 and "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("name,most", [
+    ("stock_at_month_end", 0), ("ledger_range_by_store", 0), ("stock_on_date", 0), ("free_stock", 1), ("incremental_outstanding", 0), ("sell_through_table", 1),
+    ("article_size_report_store", 0), ("article_size_report_total", 0), ("stock_detail", 3), ("return_candidates", 3), ("category_summary", 3),
+    ("stock_mobile", 2), ("stock_future", 2)])
+def test_line_table_is_scanned_few_times(spark, name, most):
+    assert len(re.findall(r"FileScan[^\n]*lineitem", plan(spark, name))) <= most
+
+
+@pytest.mark.parametrize("name", ["stock_at_month_end", "ledger_range_by_store"])
+def test_windows_prune_the_months_of_the_ledger(spark, name):
+    scan = next(x for x in plan(spark, name, "formatted").split("\n\n") if "PartitionFilters" in x and "month" in x)
+    assert "dynamicpruning" in scan
+
+
 def test_facts_of_the_margin_joins_are_not_shuffled_for_small_rates(spark):
     text = plan(spark, "asof_margin")
     facts = text[:text.index("FileScan")]   # above the first leaf: both joins (closed and open spans), no exchange
@@ -53,7 +67,8 @@ def test_no_forced_broadcasts_and_no_driver_collects():
         if p.parent.name == "llm":   # bounded fits; it has tests of its own
             continue
         text = p.read_text()
-        for word in ("broadcast(", ".collect()", ".toPandas(", ".toLocalIterator(", "localCheckpoint", "crossJoin", "@F.udf", "pandas_udf"):
+        listed = [] if p.name == "versions.py" else [".collect()"]   # its lists have one row per part
+        for word in ("broadcast(", *listed, ".toPandas(", ".toLocalIterator(", "localCheckpoint", "crossJoin", "@F.udf", "pandas_udf"):
             assert word not in text, f"{word} in {p}"
 
 

@@ -12,10 +12,11 @@ def line(i, day, qty=1.0, hour=9):
     return (i, i % 3, i % 5, t.date(), t, "penjualan", qty)
 
 
-def run(spark, src, base):
+def run(spark, src, base, fold_at=30):
     lines = I.stream_lines(spark, src, spark.read.schema(COLS).parquet(src).schema, files_per_batch=1)
-    I.start(lines, f"{base}/lines", f"{base}/check", once=True).awaitTermination()
-    return I.current_lines(spark, f"{base}/lines")
+    log = I.DayLog(spark, f"{base}/lines", fold_at)
+    I.start(lines, log, f"{base}/check", once=True).awaitTermination()
+    return log.current_lines()
 
 
 def test_stream_equals_batch_in_any_file_order(spark, rows, tmp_path):
@@ -38,16 +39,55 @@ def test_repeated_and_corrected_lines(spark, rows, tmp_path):
     spark.createDataFrame([line(1, 1), line(2, 1, qty=5.0), line(3, 1)], COLS).coalesce(1).write.mode("append").parquet(src)
     now = run(spark, src, base)
     assert rows(now, "line_id", "qty") == [(1, 1.0), (2, 5.0), (3, 1.0)]
-    assert rows(I.current_lines(spark, f"{base}/lines", "2024-05-02")) == []
+    assert rows(I.DayLog(spark, f"{base}/lines").current_lines("2024-05-02")) == []
 
 
-def test_replayed_batch_overwrites_itself(spark, rows, tmp_path):
-    write = I.write_batch(str(tmp_path / "lines"))
+def kinds(log):
+    return sorted((e["part"], e["kind"], e["rows"]) for e in log.table.current()[1])
+
+
+def test_replayed_batch_replaces_itself(spark, rows, tmp_path):
+    log = I.DayLog(spark, str(tmp_path / "lines"))
     df = spark.createDataFrame([line(1, 1), line(2, 2)], COLS)
-    write(df, 0)
-    write(df, 0)
-    assert rows(I.current_lines(spark, str(tmp_path / "lines")), "line_id") == [(1,), (2,)]
-    assert spark.read.parquet(f"{tmp_path}/lines/batch_id=0").count() == 2
+    log.write_batch(df, 0)
+    log.write_batch(df, 0)
+    assert rows(log.current_lines(), "line_id") == [(1,), (2,)]
+    assert kinds(log) == [("2024-05-01", "delta", 1), ("2024-05-02", "delta", 1)]
+    log.fold()
+    log.write_batch(df, 0)   # folded already
+    assert kinds(log) == [("2024-05-01", "base", 1), ("2024-05-02", "base", 1)]
+
+
+def test_refresh_reads_one_base_and_open_deltas_of_its_day(spark, rows, tmp_path):
+    log = I.DayLog(spark, str(tmp_path / "lines"), fold_at=3)
+    for k in range(7):
+        log.write_batch(spark.createDataFrame([line(10 * k, 1, qty=k + 1.0), line(5, 1, qty=k + 1.0, hour=9 + k), line(10 * k + 1, 2 + k)], COLS), k)
+    assert [e["kind"] for e in log.table.current()[1] if e["part"] == "2024-05-01"] == ["base", "delta"]
+    day = log.current_lines("2024-05-01")
+    assert rows(day, "line_id", "qty") == sorted([(10 * k, k + 1.0) for k in range(7)] + [(5, 7.0)], key=str)
+    assert len(day.inputFiles()) == 2 and all("2024-05-01" in f for f in day.inputFiles())
+    # a line that comes late, older than the one that stands
+    log.write_batch(spark.createDataFrame([line(5, 1, qty=99.0, hour=8)], COLS), 7)
+    assert (5, 7.0) in rows(log.current_lines("2024-05-01"), "line_id", "qty")
+    assert log.fold() and {e["kind"] for e in log.table.current()[1]} == {"base"}
+    assert (5, 7.0) in rows(log.current_lines("2024-05-01"), "line_id", "qty") and log.fold() == []
+
+
+def test_crash_while_folding_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    log = I.DayLog(spark, str(tmp_path / "lines"))
+    for k in range(3):
+        log.write_batch(spark.createDataFrame([line(k, 1), line(9, 1, qty=k + 1.0, hour=9 + k)], COLS), k)
+    before = rows(log.current_lines())
+    older = log.current_lines()   # a reader of the list before
+    monkeypatch.setattr(log.table, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    try:
+        log.fold()
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert rows(log.current_lines()) == before and len(kinds(log)) == 3
+    log.fold()
+    assert rows(log.current_lines()) == before == rows(older) and len(kinds(log)) == 1
 
 
 def test_newest_input_wins_in_any_batch(spark, rows, tmp_path):
