@@ -40,6 +40,27 @@ def _(s):
     return FC.demand_features(demand(s), KEYS, CATEGORICAL, NUMERIC)
 
 
+LONG = f"""long AS (SELECT * FROM (
+    {CODED} UNION ALL {PLAIN} UNION ALL SELECT {', '.join(KEYS)}, 'intercept', 1e0 FROM demand UNION ALL SELECT {', '.join(KEYS)}, 'label', CAST(qty AS DOUBLE) FROM demand) AS y)"""
+
+
+@query("demand_normal_equations", f"""
+    WITH {DEMAND}, {LONG}
+    SELECT a.feature, b.feature AS other, CAST(SUM(CAST(ROUND(a.value * b.value, 4) AS DECIMAL(30, 4))) AS DOUBLE) AS product
+    FROM long a JOIN long b USING ({', '.join(KEYS)}) WHERE a.feature <= b.feature GROUP BY ALL""")
+def _(s):
+    return FC.normal_equations(demand(s), CATEGORICAL, NUMERIC, "qty")
+
+
+@query("demand_forecast_rows", f"""
+    WITH {DEMAND}, train AS (SELECT * FROM demand WHERE year = 1999), t AS (SELECT COUNT(*) AS train_rows, AVG(qty) AS train_mean FROM train)
+    SELECT {', '.join(KEYS)}, qty, train_rows, train_mean, ABS(qty - train_mean) AS mean_error,
+           CAST({' + '.join(f"CASE WHEN {c} IN (SELECT {c} FROM train) THEN 0 ELSE 1 END" for c in CATEGORICAL)} AS INTEGER) AS unseen_levels
+    FROM demand, t WHERE year = 2000""")
+def _(s):
+    return FC.forecast_rows(demand(s), KEYS, CATEGORICAL, "qty", "year", 1999)
+
+
 @query("demand_linear_coefficients")
 def _(s):
     return FC.linear_coefficients(s.spark, demand(s), CATEGORICAL, NUMERIC, "qty")

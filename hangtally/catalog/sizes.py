@@ -33,7 +33,7 @@ PIVOT = f"""
 
 
 def pivot(s):
-    return G.size_pivot(s.movement.join(s.article, "sku"), ["store_id", "article"], "qty")
+    return G.size_pivot(s.movement.join(s.article, "sku"), ["store_id", "article"], "qty", articles=s.article)
 
 
 @query("size_pivot", f"WITH {PIVOT} SELECT * FROM pivoted")
@@ -59,7 +59,7 @@ WITH_SALES = f"""
 def status_v2(s):
     """Status with the free size counted, sales beside stock, rows without either left out."""
     from hangtally.plans.stock_reports import status_with_sales
-    return status_with_sales(s.movement.join(s.article, "sku"))
+    return status_with_sales(s.movement.join(s.article, "sku"), s.article)
 
 
 @query("size_run_status_v2", f"WITH {WITH_SALES} SELECT * FROM v2")

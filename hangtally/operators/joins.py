@@ -57,22 +57,40 @@ def interval_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], fact_
                   begin: str, end: str, value: str, out: str) -> DataFrame:
     """``value`` of the band with ``begin <= fact_date <= end`` per key; a null limit is open.
 
-    If bands overlap, the latest begin wins, then the lowest value.  The overlap is settled
-    on the bands: their edges cut each key's time into disjoint spans, and each span takes the
-    band that wins there.  A group is one key's bands, not its facts.
+    If bands overlap, the latest begin wins, then the lowest value.  The overlap is settled on the bands by a sweep
+    inside (key, month) cells: a band gives each month it touches the days from which and to which it holds there, and
+    equal ones are added up to one, so a cell has a thousand rows at most however many bands a key has. Open limits reach to
+    the key's outermost edges inside the cells; beyond these one span per key and side goes on without end.
     """
     keys = list(keys)
-    low, high = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")   # stand for open limits
-    of_key = (bands.select(*keys, F.coalesce(begin, low).alias("b"), F.coalesce(end, high).alias("e"), F.col(value).alias("v"))
-              .where("b <= e").groupBy(*keys).agg(F.collect_set(F.struct("b", "e", "v")).alias("_bands")))
-    edges = F.expr("array_sort(array_distinct(concat(transform(_bands, x -> x.b), "
-                   "transform(filter(_bands, x -> x.e < date'9999-12-31'), x -> date_add(x.e, 1)))))")
-    best = F.expr("transform(_edges, (d, i) -> struct(d as _from, coalesce(date_sub(get(_edges, i + 1), 1), date'9999-12-31') as _to, "
-                  "array_max(transform(filter(_bands, x -> x.b <= d and x.e >= d), x -> struct(x.b as b, -x.v as nv))) as _best))")
-    spans = (of_key.withColumn("_edges", edges).select(*keys, F.inline(best)).where("_best is not null")
-             .select(*keys, F.when(F.col("_from") > low, F.col("_from")).alias("_from"),
-                     F.when(F.col("_to") < high, F.col("_to")).alias("_to"), (-F.col("_best.nv")).alias(out)))
-    return _dated(facts, spans, keys, fact_date, out)
+    valid = bands.select(*keys, F.col(begin).alias("b"), F.col(end).alias("e"), F.col(value).alias("v")).where("b is null or e is null or b <= e")
+    # a null begin comes before all begins
+    rank = F.struct(F.coalesce(F.unix_date("b"), F.lit(-(2 ** 31))).alias("b"), (-F.col("v")).alias("nv"))
+    edges = (valid.groupBy(*keys).agg(F.least(F.min("b"), F.date_add(F.min("e"), 1)).alias("lo"), F.greatest(F.max("b"), F.date_add(F.max("e"), 1)).alias("hi")))
+    edged = _same_keys(valid, edges, keys)
+    head = edged.where("b is null").groupBy(*keys).agg(F.max(rank).alias("_best"), F.first("lo").alias("lo"))
+    head = head.select(*keys, F.lit(None).cast("date").alias("_from"), F.date_sub("lo", 1).alias("_to"), "_best")
+    tail = edged.where("e is null and hi is not null").groupBy(*keys).agg(F.max(rank).alias("_best"), F.first("hi").alias("hi"))
+    tail = tail.select(*keys, F.col("hi").alias("_from"), F.lit(None).cast("date").alias("_to"), "_best")
+    within = (edged.where("lo is not null").withColumns({"_b": F.coalesce("b", "lo"), "_e": F.coalesce("e", F.date_sub("hi", 1))}).where("_b <= _e")
+              .withColumn("_m", F.explode(F.sequence(F.trunc("_b", "MM"), F.trunc("_e", "MM"), F.expr("interval 1 month")))))
+    cells = (within.groupBy(*keys, "_m", F.greatest("_b", "_m").alias("_b"), F.least("_e", F.last_day("_m")).alias("_e")).agg(F.max(rank).alias("_best")))
+    days = (cells.withColumn("_d", F.explode(F.sequence("_b", "_e"))).groupBy(*keys, "_m", "_d").agg(F.max("_best").alias("_best")))
+    cell = Window.partitionBy(*keys, "_m").orderBy("_d")   # the days of a month
+    goes_on = (F.lag("_d").over(cell) == F.date_sub("_d", 1)) & (F.lag("_best").over(cell) == F.col("_best"))
+    runs = days.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(cell))
+    inner = runs.groupBy(*keys, "_m", "_run").agg(F.min("_d").alias("_from"), F.max("_d").alias("_to"), F.max("_best").alias("_best"))
+    spans = inner.select(*keys, "_from", "_to", "_best").union(head).union(tail)
+    return _dated(facts, spans.select(*keys, "_from", "_to", (-F.col("_best.nv")).alias(out)), keys, fact_date, out)
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys, null equal to null."""
+    r = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return left.join(r, cond).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def null_safe_anti(new: DataFrame, old: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,36 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows that an id range holds on average.
-SPAN = 100_000
+from hangtally.sources.versions import written
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order_id: str, out: str,
-                ties: Sequence[str] = (), span: int = SPAN) -> DataFrame:
-    """1, 2, 3 ... per key in the order of the integer ``order_id`` (then ``ties``).
+def number_rows(df: DataFrame, keys: Sequence[str], order_id: str, out: str, ties: Sequence[str] = ()) -> DataFrame:
+    """1, 2, 3 ... per key in the order of ``order_id`` (then ``ties``, then a hash of the row). Null ids come first.
 
-    Rows are ranked inside equal id ranges, one per ``span`` rows of the frame however dense or
-    sparse its ids are, and each range is shifted by the rows before it. Null ids come first.
+    Rows are dealt to tasks by sampled ranges of that order and sorted there, so a key with most of the rows, an id far from
+    all others or a million equal ids still spread over many tasks. A row's number is its place in its task, less the
+    place of its key's first row there, plus the key's rows in the tasks before; those counts are one row per task and key.
     """
     keys = list(keys)
-    lowest, highest = (df.agg(f(order_id).cast("double")).scalar() for f in (F.min, F.max))
-    ranges = F.ceil(df.agg(F.count("*")).scalar() / F.lit(span))
-    # in double precision, which keeps the order of ids
-    at = F.floor(F.try_divide((F.col(order_id).cast("double") - lowest) * ranges, highest - lowest))
-    cut = df.withColumn("_range", F.when(F.col(order_id).isNull(), -1).otherwise(F.coalesce(at, F.lit(0))))
-    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order_id, *ties))
-    before = (Window.partitionBy(*keys).orderBy("_range")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    shifts = (cut.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
-              .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-              .drop("_n"))
-    left, right = cut.withColumn("_local", local).alias("l"), shifts.alias("r")
-    same = F.col("l._range") == F.col("r._range")
+    order = [*keys, order_id, *ties, "_spread"]
+    dealt = df.withColumn("_spread", F.xxhash64(*df.columns)).repartitionByRange(*order).sortWithinPartitions(*order).drop("_spread")
+    # sampled ranges may differ when a plan runs twice, so the places are written down
+    placed = written(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn("_task", F.shiftright("_at", 33))
+    before = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (placed.groupBy(*keys, "_task").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+              .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")))
+    left, right = placed.alias("l"), shifts.select(*keys, "_task", "_shift").alias("r")
+    same = F.col("l._task") == F.col("r._task")
     for k in keys:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
     return (left.join(right, same)
-            .select("l.*", (F.col("l._local") + F.col("r._shift")).cast("long").alias(out))
-            .drop("_range", "_local"))
+            .select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("l._at") + F.col("r._shift")).cast("long").alias(out)))
 
 
 def running_suffix(df: DataFrame, code: str, unique_id: str, out: str) -> DataFrame:
@@ -58,7 +52,7 @@ def sequence_fill(df: DataFrame, target: str, order_id: str, start: int) -> Data
 
 
 def pair_by_position(left: DataFrame, right: DataFrame, keys: Sequence[str], order_id: str,
-                     ties: Sequence[str], span: int = 1000) -> tuple[DataFrame, DataFrame]:
+                     ties: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Number the rows of two frames per document, so that they can be compared by position."""
-    return (number_rows(left, keys, order_id, "position", ties, span),
-            number_rows(right, keys, order_id, "position", ties, span))
+    return (number_rows(left, keys, order_id, "position", ties),
+            number_rows(right, keys, order_id, "position", ties))

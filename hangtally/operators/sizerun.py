@@ -11,23 +11,22 @@ from pyspark.sql.window import Window
 from hangtally import constants as K
 
 
-# the greatest of several classes wins: TOP, then BOTTOM, then any other
-CLASS_CODES = {"BOTTOM": 2 ** 62, "TOP": 2 ** 62 + 1}
-CLASS_BYTES = 7
+def class_list(articles: DataFrame, size_class: str = "size_class") -> Column:
+    """All size classes of the article dimension in the order in which they win: others by name, then BOTTOM, then TOP."""
+    # a handful of names, whatever the number of articles
+    known = articles.agg(F.array_sort(F.collect_set(size_class)).alias("_c")).scalar()
+    named = F.array(F.lit("BOTTOM"), F.lit("TOP"))
+    return F.concat(F.array_except(F.coalesce(known, F.array().cast("array<string>")), named), named)
 
 
-def class_code(size_class: Column) -> Column:
-    """The size class as a number.  A text cannot be kept in a hash aggregate's buffer (the
-    whole input would be sorted instead), a number can.  Other classes are packed by their bytes;
-    one that does not fit is an error, not a null."""
-    packed = F.conv(F.hex(size_class), 16, 10).cast("long")
-    too_long = F.raise_error(F.concat(F.lit("size class is too long: "), size_class)).cast("long")
-    return (F.when(size_class == "TOP", CLASS_CODES["TOP"]).when(size_class == "BOTTOM", CLASS_CODES["BOTTOM"])
-            .when(F.octet_length(size_class) <= CLASS_BYTES, packed).when(size_class.isNotNull(), too_long))
+def class_code(size_class: Column, classes: Column) -> Column:
+    """The size class as its place in the list.  A text cannot be kept in a hash aggregate's buffer (the
+    whole input would be sorted instead), a number can."""
+    return F.when(size_class.isNotNull(), F.array_position(classes, size_class))
 
 
-def class_name(code: Column) -> Column:
-    return F.when(code == CLASS_CODES["TOP"], "TOP").when(code == CLASS_CODES["BOTTOM"], "BOTTOM").otherwise(F.unhex(F.hex(code)).cast("string"))
+def class_name(code: Column, classes: Column) -> Column:
+    return F.get(classes, (code - 1).cast("int"))
 
 
 def size_cells(value: str, size: str = "size", every_size: bool = False) -> list[Column]:
@@ -41,17 +40,19 @@ def size_cells(value: str, size: str = "size", every_size: bool = False) -> list
 
 def size_pivot(df: DataFrame, keys: Sequence[str], value: str, size: str = "size",
                size_class: str | None = "size_class", extra: Sequence[Column] = (),
-               every_size: bool = False) -> DataFrame:
+               every_size: bool = False, articles: DataFrame | None = None) -> DataFrame:
     """One column per known size, their sum as ``sum_qty``, and the size class of the key.
 
     The class is an attribute of the key; if rows disagree, TOP wins, so the pivot never
-    grows rows.  ``extra`` aggregates ride along in the same shuffle.
+    grows rows.  ``extra`` aggregates ride along in the same shuffle.  The classes that exist are
+    read from ``articles`` (the dimension), else from the rows themselves.
     """
     aggs = [*size_cells(f"`{value}`", size, every_size), *extra]
     if size_class:
-        aggs.append(F.max(class_code(F.col(size_class))).alias("_class"))
+        classes = class_list(df if articles is None else articles, size_class)
+        aggs.append(F.max(class_code(F.col(size_class), classes)).alias("_class"))
     wide = df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs)
-    return wide.withColumn("size_class", class_name(F.col("_class"))).drop("_class") if size_class else wide
+    return wide.withColumn("size_class", class_name(F.col("_class"), classes)).drop("_class") if size_class else wide
 
 
 def add(columns: Sequence[str]) -> Column:

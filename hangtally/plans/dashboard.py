@@ -71,7 +71,8 @@ SUMS = ["sales", "returned", "transferred", "open_orders", "open_transfers", "or
 
 def article_measures(m: Movements, articles: DataFrame, asof: str) -> DataFrame:
     """One row per store and article: sizes, sums, dates, receipt ages."""
-    attrs = articles.select("sku", "article", "size", G.class_code(F.col("size_class")).alias("_class"))
+    classes = G.class_list(articles)
+    attrs = articles.select("sku", "article", "size", G.class_code(F.col("size_class"), classes).alias("_class"))
     rows = union_rows(_measures(m), allow_missing=True).join(attrs, "sku")
     ages = receipt_aging(m.receipts.join(attrs.select("sku", "article"), "sku"), KEYS, asof)
     cells = G.size_cells("stocks")
@@ -82,7 +83,7 @@ def article_measures(m: Movements, articles: DataFrame, asof: str) -> DataFrame:
         *[F.max(c).alias(c) for c in ("first_receipt", "last_receipt", "first_qty", "aging")])
     table = table.where("has_stock is not null or open_orders is not null or open_transfers is not null")
     table = table.withColumns({c: _zero(c) for c in [*SUMS, "first_qty"]})
-    table = G.run_status(table.withColumn("size_class", G.class_name(F.col("_class"))).drop("_class")).withColumns({
+    table = G.run_status(table.withColumn("size_class", G.class_name(F.col("_class"), classes)).drop("_class")).withColumns({
         "status": F.when(F.col("has_stock").isNotNull(), F.col("status")),
         "aging": F.coalesce("aging", F.lit(0)),
         "stock_start": F.col("sum_qty") + F.col("sales"),

@@ -27,7 +27,7 @@ def report_by_store(table: DataFrame, articles: DataFrame, stores: DataFrame, ye
     rows = (table.join(articles.select("sku", "article", "size_class"), "sku")
             .join(stores.select("store_id", "store_code", "store_name"), "store_id", "left"))
     rows = written(rows, "report-rows")   # read for the status and for the report
-    status = G.run_status(G.size_pivot(rows, ["store_id", "article"], "stock_at")).select("store_id", "article", "status")
+    status = G.run_status(G.size_pivot(rows, ["store_id", "article"], "stock_at", articles=articles)).select("store_id", "article", "status")
     out = (rows.join(status, ["store_id", "article"], "left")
            .withColumn("pk_id", surrogate_key("store_id", "sku"))
            .withColumnsRenamed({"size_class": "bot/top"}))
@@ -54,17 +54,17 @@ def report_total(last: DataFrame, this: DataFrame, warehouse: DataFrame, article
     both = both.withColumn("total sales qty", F.col("_sales_old") + F.col("_sales_new")).drop("_sales_old", "_sales_new")
     both = both.withColumn("total stock", F.col("total sales qty") + F.col("stock akhir"))
     rows = written(both.join(articles.select("sku", "article", "size", "size_class"), "sku"), "report-rows")
-    status = G.run_status(G.size_pivot(rows, ["article"], "stock akhir")).select("article", "status")
+    status = G.run_status(G.size_pivot(rows, ["article"], "stock akhir", articles=articles)).select("article", "status")
     return rows.join(status, "article", "left").withColumnsRenamed({"article": "artikel", "size_class": "bot/top"})
 
 
-def status_with_sales(rows: DataFrame) -> DataFrame:
+def status_with_sales(rows: DataFrame, articles: DataFrame | None = None) -> DataFrame:
     """Stock by size, sales beside it and the status in which the free size counts; articles
     without stock (of any size) and sales are left out.  Sales ride along in the pivot's own shuffle."""
     from hangtally import constants as K
     sold = F.when(F.col("stat") == K.SALE, -F.col("qty")).otherwise(F.lit(0.0))
     keys = ["store_id", "article"]
-    wide = G.size_pivot(rows, keys, "qty", extra=[F.sum(sold).alias("sales_qty")], every_size=True)
+    wide = G.size_pivot(rows, keys, "qty", extra=[F.sum(sold).alias("sales_qty")], every_size=True, articles=articles)
     out = G.run_status(wide, top=K.TOP_RUN_WITH_FREE, top_min=K.TOP_RUN_MIN_WITH_FREE)
     return out.where("sum_qty <> 0 or sales_qty <> 0").select(*keys, "sum_qty", "sales_qty", "status")
 

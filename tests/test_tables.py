@@ -103,7 +103,7 @@ def test_snapshots_are_read_once_each(spark, rows, tmp_path):
 def test_number_rows_in_small_ranges(spark, rows):
     df = spark.createDataFrame([(k, i * 3) for i in range(200) for k in (None, "a", "b") if (i + len(k or "")) % 3], "k string, id int")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("id")).cast("long"))
-    assert rows(N.number_rows(df, ["k"], "id", "n", span=17)) == rows(want)
+    assert rows(N.number_rows(df, ["k"], "id", "n")) == rows(want)
 
 
 def test_suffix_and_fill(spark, rows):

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from hangtally import constants as K
@@ -20,8 +19,9 @@ def test_other_size_classes_are_carried_through(spark, rows):
     df = spark.createDataFrame([("s", "a", size, "ACC", 2.0), ("s", "b", size, "TOP", 1.0), ("s", "b", size, "ACC", 1.0), ("s", "c", size, None, 1.0)],
                                "store string, article string, size string, size_class string, qty double")
     assert rows(G.size_pivot(df, ["store", "article"], "qty"), "article", "size_class") == [("a", "ACC"), ("b", "TOP"), ("c", None)]
-    with pytest.raises(Exception, match="too long"):
-        G.size_pivot(df.withColumn("size_class", F.lit("ACCESSORY")), ["store", "article"], "qty").collect()
+    long = df.withColumn("size_class", F.concat(F.lit("ACCESSORIES OF ALL KINDS "), "article"))   # of any length; the greatest wins
+    assert rows(G.size_pivot(long, ["store"], "qty"), "size_class") == [("ACCESSORIES OF ALL KINDS c",)]
+    assert rows(G.size_pivot(long, ["store", "article"], "qty", articles=long), "size_class")[0] == ("ACCESSORIES OF ALL KINDS a",)
 
 
 def test_unlisted_sizes_count_in_the_status_with_sales(spark, rows):
@@ -80,7 +80,7 @@ def test_outstanding_takes_the_customer_of_the_order(spark, rows):
 def test_numbers_of_sparse_ids(spark):
     ids = [(-1) ** k * (k * 0x9E3779B97F4A7C15 % (1 << 63)) for k in range(500)] + [None]
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = {r["id"]: r["n"] for r in N.number_rows(df, [], "id", "n", span=50).collect()}
+    got = {r["id"]: r["n"] for r in N.number_rows(df, [], "id", "n").collect()}
     assert got == {i: k for k, i in enumerate([None] + sorted(ids[:-1]), 1)}
     same = spark.createDataFrame([(7, "b"), (7, "a")], "id bigint, t string")
     assert sorted((r["t"], r["n"]) for r in N.number_rows(same, [], "id", "n", ["t"]).collect()) == [("a", 1), ("b", 2)]
