@@ -9,7 +9,8 @@ follows the back-pointers from the end.
 
 Cases: null text is an empty text, with no ids and an empty decoded text. Special strings inside a
 text become their ids, as in the public library. Repeated rows give repeated rows. Texts of any
-length are encoded whole; only words up to 64 characters are remembered between texts.
+length are encoded whole; only words up to 64 characters are remembered between texts. An empty table gives an
+empty result. Further columns of any name are not read.
 """
 
 from __future__ import annotations

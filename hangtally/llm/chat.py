@@ -14,6 +14,8 @@ assistant turn form a ``rest`` row, which has no target.
 Cases: a null text is empty, a null role is an empty role. Turns stand in the order of turn, then role, then
 text, nulls first, so repeated turns have a fixed order. A null conv_id is a conversation of its own.
 A conversation without assistant has only a rest row and no loss. An empty table gives an empty result.
+``whole_examples`` reads examples with all their context. A conversation is worked on in one task, turn by turn, so one with very many
+turns takes long there but not more memory. Further columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -95,6 +97,21 @@ def expanded(turns: DataFrame) -> DataFrame:
     return dealt.mapInArrow(work, EXAMPLES)
 
 
+def whole_examples(examples: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Rows (conv_id, seq, context, target) of all examples, or of those of ``wanted`` (conv_id, seq): the shared
+    context rows before an example and its own text up to the mask, joined to one, and the text under the mask."""
+    chosen = examples.where("kind = 'example'")
+    if wanted is not None:
+        same = chosen["conv_id"].eqNullSafe(wanted["conv_id"]) & (chosen["seq"] == wanted["seq"])
+        chosen = chosen.join(wanted.select("conv_id", "seq"), same, "left_semi")
+    shared = examples.where("kind = 'context'").select(F.col("conv_id").alias("_conv"), F.col("start").alias("_start"), F.col("text").alias("_text"))
+    met = chosen.join(shared, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_start") < F.col("start")), "left")
+    before = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_conv").isNotNull() | F.col("_start").isNotNull(), F.struct("_start", "_text")))), lambda x: x["_text"]), "")
+    rows = met.groupBy("conv_id", "seq", "text", "loss_from", "loss_to").agg(before.alias("before"))
+    return rows.select("conv_id", "seq", F.concat("before", F.expr("substr(text, 1, loss_from)")).alias("context"),
+                       F.expr("substr(text, loss_from + 1, loss_to - loss_from)").alias("target"))
+
+
 def read_back(examples: DataFrame) -> DataFrame:
     """Per conversation, from its examples: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 

@@ -12,7 +12,8 @@ Document frequencies count all labelled texts. The sample is bounded by ``PER_LA
 language, taken by a hash of doc_id, so reruns agree.
 
 Cases: null text and text without a letter are ``und`` with score 0 and are rejected. Without any
-labelled text everything is ``und``. Rows with a null doc_id are predicted but never learned from.
+labelled text everything is ``und``. Rows with a null doc_id are predicted but never learned from. An empty table gives an empty result.
+Ties go to the first centroid in the order of languages. Texts of any length are counted whole. Further columns of any name are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ group of thousands of copies makes as many rows as it has members, and no connec
 Cases: null or blank text has an empty set and links with nothing. Fewer than five words: the whole
 sequence is one shingle. Rows that repeat a doc_id are one document where their sets are equal, and
 go together. A null doc_id links with nothing: its component is null and it is kept. An empty table
-gives an empty result.
+gives an empty result. Very long texts are hashed whole, and minima are taken in pieces. Further columns of any name are not read.
 """
 
 from __future__ import annotations

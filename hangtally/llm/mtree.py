@@ -17,7 +17,7 @@ integers, and bounds have a margin above rounding, so the result is exact.
 Cases: vectors that are null or hold null or non-finite components take no part. Shorter vectors
 count as padded by zeros. Rows with a null vec_id are neither query nor candidate. Repeated rows are
 candidates of their own, except that a row is never a candidate for its own vec_id. Ties
-go to the smaller vec_id. An empty table gives an empty result.
+go to the smaller vec_id. An empty table gives an empty result. Further columns of any name are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ A cell of more than ``BLOCK`` rows is cut by hash and its visitors are sent to e
 Cases: null labels, null ids, and vectors that are null, zero or hold null or non-finite
 components link with nothing (0 links, their own component, kept; null where the id is null).
 Shorter vectors count as padded by zeros. Rows that repeat a vec_id are counted as vectors of their
-own. An empty table gives an empty result.
+own. An empty table gives an empty result. Further columns of any name are not read.
 """
 
 from __future__ import annotations

@@ -24,7 +24,7 @@ aggregation instead, so no task ever holds an unbounded group.
 Cases: null text is empty. Texts shorter than the window keep all. Order is (doc_id, start), null
 doc_ids last; rows that share a doc_id are one document to that order (none of them is earlier
 than another at the same start) and are told apart by a 16-bit digest of their text when the spans
-are applied. An empty table gives an empty result.
+are applied. An empty table gives an empty result. Further columns of any name are not read, unless named to be kept.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Files are named at random and become part of the data by their row in the return
 task that runs twice leaves an unused file and never a double document.
 
 Cases: null text is an empty document, which still has its end id. A null doc_id comes first.
-Repeated rows are stored repeatedly, in the order of their text. An empty table writes no file.
+Repeated rows are stored repeatedly, in the order of their text. An empty table writes no file. A text of any length is one frame.
+Further columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -36,7 +38,9 @@ from hangtally.session import scratch_path
 
 INDEX_MAGIC, TABLE_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1   # fixed values of the format
 _ENTRY, _FOOT = struct.Struct("<III"), struct.Struct("<IBI")
-MANIFEST = "file string, docs bigint, ids bigint, first_doc bigint, last_doc bigint"
+MANIFEST = "part int, seq int, file string, docs bigint, ids bigint, first_doc bigint, last_doc bigint"
+#: Documents after which a task begins its next file. It bounds the seek table in memory and what a reader fetches of it.
+FILE_DOCS = 20_000
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -130,8 +134,8 @@ def _encoder(path: str):
 def write_ids(docs: DataFrame, path: str, end_id: int, files: int | None = None) -> DataFrame:
     """Encodes whole texts and writes them in ascending doc_id order; returns the stored manifest.
 
-    The texts are dealt by ranges of doc_id, one file per range, so memory holds one batch of rows
-    and one seek table. ``files`` is the number of ranges (default: the session's shuffle partitions).
+    The texts are dealt by ranges of doc_id, and a range is written as files of ``FILE_DOCS`` documents, so memory holds one
+    batch of rows and one seek table. ``files`` is the number of ranges (default: the session's shuffle partitions).
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -140,23 +144,28 @@ def write_ids(docs: DataFrame, path: str, end_id: int, files: int | None = None)
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, fs = _encoder(path), None
+        encode, fs, out, part, seq = _encoder(path), None, None, TaskContext.get().partitionId(), 0
+
+        def closed() -> pa.RecordBatch:
+            out.close()
+            return batch(schema, [part], [seq], [f"{folder}/{name.rsplit('/', 1)[1]}"], [len(out.docs)], [total], [next((d for d in out.docs if d is not None), None)], [out.docs[-1]])
+
         for b in batches:
-            if not b.num_rows:
-                continue
-            if fs is None:
-                fs, base = filesystem(folder)
-                fs.create_dir(base, recursive=True)
-                name = f"{base}/{uuid.uuid4().hex}.zst"
-                out = FrameWriter(fs.open_output_stream(name, compression=None))
-                total = 0
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if out is not None and len(out.docs) >= FILE_DOCS:
+                    yield closed()
+                    out, seq = None, seq + 1
+                if out is None:
+                    if fs is None:
+                        fs, base = filesystem(folder)
+                        fs.create_dir(base, recursive=True)
+                    name = f"{base}/{uuid.uuid4().hex}.zst"
+                    out, total = FrameWriter(fs.open_output_stream(name, compression=None)), 0
                 data = encode(text or "") + end
                 total += len(data) // 4
                 out.add(doc, data)
-        if fs is not None:
-            out.close()
-            yield batch(schema, [f"{folder}/{name.rsplit('/', 1)[1]}"], [len(out.docs)], [total], [out.docs[0]], [out.docs[-1]])
+        if out is not None:
+            yield closed()
 
     ranges = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("doc_id", "text").repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -166,19 +175,22 @@ def write_ids(docs: DataFrame, path: str, end_id: int, files: int | None = None)
 def read_ids(manifest: DataFrame, wanted: DataFrame | None = None, slice_docs: int = 2000) -> DataFrame:
     """Rows (doc_id, start, ids) of the stored documents; ``start`` counts the ids of all documents before.
 
-    With ``wanted`` (a column doc_id, nulls ignored), only those documents' frames are decompressed: the
-    manifest, one row per file, says which files can hold them, and the seek tables where.
+    With ``wanted`` (a column doc_id, nulls ignored), only those documents' frames are decompressed: the manifest, one row per
+    file, says which files can hold them, and the seek tables where. Ids meet files in equal stretches of the range of ids.
     """
     # one row per file: a running sum over the files, not over documents
-    files = manifest.selectExpr("*", "coalesce(sum(ids) over (order by first_doc nulls first, last_doc nulls first, file "
-                                "rows between unbounded preceding and 1 preceding), 0) as base")
-    slices = files.selectExpr("file", "base", f"explode(sequence(0, (docs - 1) div {slice_docs})) as part", "first_doc", "last_doc")
+    files = manifest.selectExpr("*", "coalesce(sum(ids) over (order by part, seq rows between unbounded preceding and 1 preceding), 0) as base").drop("part", "seq")
     if wanted is not None:
-        ids = wanted.select("doc_id").distinct()
-        slices = (slices.join(ids, F.expr("doc_id <= last_doc and (first_doc is null or doc_id >= first_doc)"))
-                  .groupBy("file", "base", "part").agg(F.collect_set("doc_id").alias("only")))
+        low, high, n = manifest.agg(F.min("first_doc"), F.max("last_doc"), F.count("*")).first()
+        low, wide = low or 0, max(1, ((high or 0) - (low or 0)) // max(1, n) + 1)
+        ids = wanted.select("doc_id").where(f"doc_id between {low} and {high or 0}").distinct().withColumn("stretch", F.expr(f"(doc_id - {low}L) div {wide}L"))
+        spread = files.where("last_doc is not null").withColumn("stretch", F.expr(
+            f"explode(sequence((first_doc - {low}L) div {wide}L, (last_doc - {low}L) div {wide}L))"))
+        slices = (spread.join(ids, "stretch").where("doc_id between first_doc and last_doc")
+                  .groupBy("file", "base").agg(F.collect_set("doc_id").alias("only"), F.first("docs").alias("docs")))   # no more than a file's documents
     else:
-        slices = slices.selectExpr("file", "base", "part", "cast(null as array<bigint>) as only")
+        slices = files.selectExpr("file", "base", "cast(null as array<bigint>) as only", "docs")
+    slices = slices.selectExpr("file", "base", f"explode(sequence(0, if(only is null, (docs - 1) div {slice_docs}, 0))) as part", "only")
     out = "doc_id bigint, start bigint, ids binary"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
@@ -193,7 +205,7 @@ def read_ids(manifest: DataFrame, wanted: DataFrame | None = None, slice_docs: i
                     places = range(low, min(low + slice_docs, len(r.docs)))
                     if row["only"] is not None:
                         only = set(row["only"])
-                        places = [p for p in places if r.docs[p] in only]
+                        places = [p for p, d in enumerate(r.docs) if d in only]
                     for at in range(0, len(places), 250):
                         some = places[at:at + 250]
                         yield batch(schema, [r.docs[p] for p in some], [int(starts[p]) for p in some], [r.read(p) for p in some])

@@ -15,7 +15,8 @@ an unused file and no double record.
 
 Cases: null html is an empty payload, and empty payloads are equal to each other. A null page_id is written without a
 page header and read back as null; its payload neither revisits nor is revisited. Rows that repeat a page_id with the same
-payload are records of their own, all of the type of that page. An empty table writes no file.
+payload are records of their own, all of the type of that page. An empty table writes no file. Very long payloads are cut into segments. Further columns
+of any name are not read.
 """
 
 from __future__ import annotations

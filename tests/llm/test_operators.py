@@ -202,9 +202,12 @@ def test_unlearned_languages_and_letter_noise_go(spark):
     assert not any(rejected for _, _, rejected in model.predict([t for _, t, _ in known[100:]] + short))
 
 
-def test_token_files(docs):
+@pytest.mark.parametrize("file_docs", [2, 20_000])
+def test_token_files(docs, monkeypatch, file_docs):
     t = Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(seekable, "FILE_DOCS", file_docs)
     manifest = seekable.write_ids(docs, TOKENIZER, END_ID, 3)
+    assert manifest.agg({"docs": "max"}).first()[0] <= file_docs
     start, want = 0, []
     for d, x in sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = t.encode(x or "", add_special_tokens=False).ids + [END_ID]
@@ -213,6 +216,7 @@ def test_token_files(docs):
     assert key(seekable.digests(seekable.read_ids(manifest)).collect()) == key(want)
     some = seekable.read_ids(manifest, docs.where("doc_id in (4, 8)").select("doc_id"))
     assert key(seekable.digests(some).collect()) == key(w for w in want if w[0] in (4, 8))
+    assert "NestedLoop" not in some._jdf.queryExecution().toString()
     assert seekable.write_ids(docs.limit(0), TOKENIZER, END_ID, 3).count() == 0
 
 
@@ -271,6 +275,12 @@ def test_chat(spark, monkeypatch, block):
     if block > 60:   # all context is in the example itself
         second = examples.where("conv_id = 3 and kind = 'example'").orderBy("seq").collect()[1]
         assert second["start"] == 0 and chat.unescaped(second["text"][second["loss_from"]:second["loss_to"]]) == "|end"
+    texts = [(c, "".join(f"<|im_start|>{chat.escaped_role(r or '')}\n{chat.escaped(t or '')}<|im_end|>\n" for _, _, r, t in own[:k]) + "<|im_start|>assistant\n", chat.escaped(own[k][3] or ""))
+             for c in (1, 2, 3, None) for own in [[t for t in turns if t[0] == c]] for k in range(len(own)) if own[k][2] == "assistant"]
+    whole = chat.whole_examples(examples)
+    assert key((r["conv_id"], r["context"], r["target"]) for r in whole.collect()) == key(texts)
+    some = examples.where("kind = 'example' and conv_id = 3")
+    assert chat.whole_examples(examples, some.select("conv_id", "seq")).count() == some.count() == 2
     assert chat.report(df.limit(0)).count() == 0
 
 
