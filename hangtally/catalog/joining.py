@@ -245,7 +245,7 @@ def _(s):
 def _(s):
     span = s.between("1998-04-01", "2000-09-30")
     key = F.col("o_orderkey")
-    transfers = span.orders.select(key.alias("transfer_id"), F.to_date("o_orderdate").alias("transfer_date"),
+    transfers = s.orders.select(key.alias("transfer_id"), F.to_date("o_orderdate").alias("transfer_date"),
                                    F.col("o_custkey").alias("store_from"))
     deliveries = span.orders.where("o_orderstatus <> 'F'").select(key.alias("transfer_id"), (key * 2).alias("delivery_id"))
     receipts = s.orders.where("o_orderpriority <> '1-URGENT'").select((key * 2).alias("delivery_id"), (key * 3).alias("receipt_id"))

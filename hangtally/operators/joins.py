@@ -12,14 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hangtally.sources.versions import written
+
 
 def _dated(facts: DataFrame, spans: DataFrame, keys: Sequence[str], fact_date: str, out: str) -> DataFrame:
     """Facts with ``out`` of the one span (``_from``, ``_to``) of their key that holds their date.
 
     Spans of a key are disjoint; a null end is open.  Closed spans are spread over the months
     they touch, so a fact meets at most the spans of its own key and month; open ones (two per
-    key at most) are met by key.  Facts are read once, and no date range is assumed.
+    key at most) are met by key.  Facts are read once, and no date range is assumed.  The spans, prepared from rates alone, are
+    written once, as both joins read them.
     """
+    spans = written(spans, "rate-spans")
+
     def matched(left: DataFrame, right: DataFrame, name: str, *more: Column) -> DataFrame:
         r = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                          *[c for c in ("_rm", "_from", "_to") if c in right.columns], F.col(out).alias(name))

@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hangtally import constants as K
 from hangtally.operators.ledger import Documents, Family, net
@@ -20,8 +21,8 @@ from hangtally.session import scratch_path
 from hangtally.sources.readers import read_months
 from hangtally.sources.sinks import write_months
 
-#: Folders of tables derived once per session, input folder and name.
-_DERIVED: dict[tuple[str, str, str], str] = {}
+#: Folders and schemas of tables derived once per session, input folder and name.
+_DERIVED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 VIEWS: dict[str, str] = {
     "store": """
@@ -185,13 +186,14 @@ class Standins:
 
     def derived(self, name: str, build: Callable[["Standins"], DataFrame], date: str | None = None) -> DataFrame:
         """A table built from the whole input once per session and kept in the shared folder, by month where ``date`` is given."""
-        frame = build(Standins(self.spark, self.folder, tables=self._tables))
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _DERIVED:
+            frame = build(Standins(self.spark, self.folder, tables=self._tables))
             path = scratch_path(self.spark, name)
             write_months(frame, date, path) if date else frame.write.parquet(path)
-            _DERIVED[key] = path
-        return read_months(self.spark, _DERIVED[key], frame.schema) if date else self.spark.read.schema(frame.schema).parquet(_DERIVED[key])
+            _DERIVED[key] = path, frame.schema
+        path, schema = _DERIVED[key]
+        return read_months(self.spark, path, schema) if date else self.spark.read.schema(schema).parquet(path)
 
     # ---- ingestion: SKU texts become numbers, movements become a ledger by month ----
 

@@ -25,3 +25,11 @@ def test_query(spark, duck, name):
     if problems == ["no rows"] and name in MAY_BE_EMPTY:   # both sides are empty on so little data
         problems = []
     assert not problems
+
+
+@pytest.mark.parametrize("name, order", [
+    ("sort_report", lambda r: r["store_name"]), ("top_n_frequency", lambda r: (-r["n"], r["sku"])), ("value_frequency", lambda r: -r["n"]),
+    ("category_summary", lambda r: -r["sales_contrib"])])
+def test_sorted_reports_come_in_order(spark, name, order):
+    rows = QUERIES[name](spark, FOLDER).collect()
+    assert len(rows) > 1 and [order(r) for r in rows] == sorted(order(r) for r in rows)

@@ -49,6 +49,10 @@ def test_line_table_is_scanned_few_times(spark, name, most):
     assert len(re.findall(r"FileScan[^\n]*lineitem", plan(spark, name))) <= most
 
 
+def test_marts_shuffle_few_times(spark):
+    assert len(re.findall("Exchange hashpartitioning", plan(spark, "sales_mart"))) <= 10
+
+
 @pytest.mark.parametrize("name", ["stock_at_month_end", "ledger_range_by_store"])
 def test_windows_prune_the_months_of_the_ledger(spark, name):
     scan = next(x for x in plan(spark, name, "formatted").split("\n\n") if "PartitionFilters" in x and "month" in x)
