@@ -131,6 +131,10 @@ def _encoder(path: str):
     return _LOADED[path].encode
 
 
+def forget_encoders() -> None:
+    _LOADED.clear()
+
+
 def write_ids(docs: DataFrame, path: str, end_id: int, files: int | None = None) -> DataFrame:
     """Encodes whole texts and writes them in ascending doc_id order; returns the stored manifest.
 
@@ -195,6 +199,7 @@ def read_ids(manifest: DataFrame, wanted: DataFrame | None = None, slice_docs: i
     schema = to_arrow_schema(_parse_datatype_string(out))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()   # a worker that wrote files before needs its words no more
         for b in batches:
             for row in b.to_pylist():
                 fs, name = filesystem(row["file"])
