@@ -68,7 +68,15 @@ def interval_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], fact_
     the key's outermost edges inside the cells; beyond these one span per key and side goes on without end.
     """
     keys = list(keys)
-    valid = bands.select(*keys, F.col(begin).alias("b"), F.col(end).alias("e"), F.col(value).alias("v")).where("b is null or e is null or b <= e")
+    every = bands.select(*keys, F.col(begin).alias("b"), F.col(end).alias("e"), F.col(value).alias("v")).where("b is null or e is null or b <= e")
+    # bands that touch no other of their key are spans as they are
+    first, last = F.coalesce(F.unix_date("b"), F.lit(-(2 ** 31))), F.coalesce(F.unix_date("e"), F.lit(2 ** 31 - 1))
+    order = Window.partitionBy(*keys).orderBy("_b0")
+    reached, follows = F.max("_e0").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lead("_b0").over(order)
+    alone = F.coalesce(reached < F.col("_b0"), F.lit(True)) & F.coalesce(follows > F.col("_e0"), F.lit(True))
+    every = written(every.withColumns({"_b0": first, "_e0": last}).withColumn("alone", alone), "bands")
+    single = every.where("alone").select(*keys, F.col("b").alias("_from"), F.col("e").alias("_to"), F.col("v").alias(out))
+    valid = every.where("not alone").select(*keys, "b", "e", "v")
     # a null begin comes before all begins
     rank = F.struct(F.coalesce(F.unix_date("b"), F.lit(-(2 ** 31))).alias("b"), (-F.col("v")).alias("nv"))
     edges = (valid.groupBy(*keys).agg(F.least(F.min("b"), F.date_add(F.min("e"), 1)).alias("lo"), F.greatest(F.max("b"), F.date_add(F.max("e"), 1)).alias("hi")))
@@ -80,13 +88,15 @@ def interval_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], fact_
     within = (edged.where("lo is not null").withColumns({"_b": F.coalesce("b", "lo"), "_e": F.coalesce("e", F.date_sub("hi", 1))}).where("_b <= _e")
               .withColumn("_m", F.explode(F.sequence(F.trunc("_b", "MM"), F.trunc("_e", "MM"), F.expr("interval 1 month")))))
     cells = (within.groupBy(*keys, "_m", F.greatest("_b", "_m").alias("_b"), F.least("_e", F.last_day("_m")).alias("_e")).agg(F.max(rank).alias("_best")))
-    days = (cells.withColumn("_d", F.explode(F.sequence("_b", "_e"))).groupBy(*keys, "_m", "_d").agg(F.max("_best").alias("_best")))
+    cells = cells.withColumn("_n", F.count("*").over(Window.partitionBy(*keys, "_m")))
+    lone = cells.where("_n = 1").select(*keys, F.col("_b").alias("_from"), F.col("_e").alias("_to"), "_best")
+    days = (cells.where("_n > 1").withColumn("_d", F.explode(F.sequence("_b", "_e"))).groupBy(*keys, "_m", "_d").agg(F.max("_best").alias("_best")))
     cell = Window.partitionBy(*keys, "_m").orderBy("_d")   # the days of a month
     goes_on = (F.lag("_d").over(cell) == F.date_sub("_d", 1)) & (F.lag("_best").over(cell) == F.col("_best"))
     runs = days.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(cell))
     inner = runs.groupBy(*keys, "_m", "_run").agg(F.min("_d").alias("_from"), F.max("_d").alias("_to"), F.max("_best").alias("_best"))
-    spans = inner.select(*keys, "_from", "_to", "_best").union(head).union(tail)
-    return _dated(facts, spans.select(*keys, "_from", "_to", (-F.col("_best.nv")).alias(out)), keys, fact_date, out)
+    spans = inner.select(*keys, "_from", "_to", "_best").union(lone).union(head).union(tail)
+    return _dated(facts, spans.select(*keys, "_from", "_to", (-F.col("_best.nv")).alias(out)).union(single), keys, fact_date, out)
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
