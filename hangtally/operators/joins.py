@@ -117,18 +117,31 @@ def null_safe_anti(new: DataFrame, old: DataFrame, columns: Sequence[str]) -> Da
     return new.alias("n").join(old.alias("o"), cond, "left_anti")
 
 
+#: A key with more than this part of all facts is split; there are no more such keys than its inverse.
+HOT_SHARE = 1 / 500
+
+
 def spread_join(facts: DataFrame, per_key: DataFrame, key: str, spread_by: str,
                 pieces: int = 32, how: str = "inner") -> tuple[DataFrame, str]:
     """Join facts to a one-row-per-key side without one task owning a hot key.
 
-    The key is split into ``pieces`` by a hash of ``spread_by``; the small side is
-    repeated once per piece.  Grouping the result by (key, piece, spread_by, ...) can
-    use the join's partitioning, so no second shuffle follows.  Returns the frame and
-    the name of the piece column.
+    A key with more than ``HOT_SHARE`` of the facts is split into ``pieces`` by a hash of ``spread_by``, and its row of the
+    other side is repeated once per piece; all others keep one piece, so that side does not grow with the pieces.  Facts are
+    read once more, for their keys alone.  Grouping the result by (key, piece, spread_by, ...) can use the join's
+    partitioning, so no second shuffle follows.  Returns the frame and the name of the piece column.
     """
     piece = "_piece"
-    left = facts.withColumn(piece, F.pmod(F.xxhash64(spread_by), F.lit(pieces)).cast("int"))
-    right = per_key.withColumn(piece, F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    counts = written(facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), "key-counts")
+    hot = counts.where(F.col("_n") > counts.agg(F.sum("_n")).scalar() * HOT_SHARE).select(key, F.lit(pieces).alias("_pieces"))
+    hot = written(hot, "hot-keys")   # a few keys, so Spark sees that they are small
+    if hot.isEmpty():
+        one = F.lit(0)
+        return facts.withColumn(piece, one).join(per_key.withColumn(piece, one), [key, piece], how), piece
+    split = F.coalesce("_pieces", F.lit(1))
+    left = (facts.join(hot, key, "left")
+            .withColumn(piece, F.pmod(F.xxhash64(spread_by), split).cast("int")).drop("_pieces"))
+    right = (per_key.join(hot, key, "left")
+             .withColumn(piece, F.explode(F.sequence(F.lit(0), split - 1))).drop("_pieces"))
     return left.join(right, [key, piece], how), piece
 
 

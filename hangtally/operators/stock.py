@@ -84,13 +84,11 @@ def opening_stock(counts: DataFrame, openings: DataFrame, starts: DataFrame) ->
 def ledger_in_windows(movements: DataFrame, starts: DataFrame) -> DataFrame:
     """Movement sum per store and SKU inside each store's own date window.
 
-    Movements are first summed by day, then meet the per-store windows piece by piece, so
-    a store with a third of all rows is worked on by many tasks; the sum after the join
-    uses the same partitioning.
+    Movements meet the per-store windows, those of a store with very many of them piece by piece, so
+    it is worked on by many tasks; the sum after the join uses the same partitioning.
     """
-    daily = in_months(movements, starts).groupBy("store_id", "sku", "move_date").agg(F.sum("qty").alias("qty"))
     windows = starts.select("store_id", "start_date", "end_date")
-    hits, piece = spread_join(daily, windows, "store_id", "sku")
+    hits, piece = spread_join(in_months(movements, starts), windows, "store_id", "sku")
     return (hits.where("move_date between start_date and end_date")
             .groupBy("store_id", piece, "sku", "end_date").agg(F.sum("qty").alias("qty"))
             .drop(piece))
@@ -118,8 +116,7 @@ def ledger_at_ends(movements: DataFrame, starts: DataFrame, ends: Sequence[str])
     """
     windows = starts.groupBy("store_id").agg(*[F.max(F.when(F.col("end_date") == day(e), F.col("start_date"))).alias(f"_s{i}")
                                                for i, e in enumerate(ends)])
-    daily = in_months(movements, starts).groupBy("store_id", "sku", "move_date").agg(F.sum("qty").alias("qty"))
-    hits, piece = spread_join(daily, windows, "store_id", "sku")
+    hits, piece = spread_join(in_months(movements, starts), windows, "store_id", "sku")
     inside = [F.when(F.col("move_date").between(F.col(f"_s{i}"), day(e)), F.col("qty")) for i, e in enumerate(ends)]
     sums = hits.groupBy("store_id", piece, "sku").agg(*[F.sum(c).alias(f"_q{i}") for i, c in enumerate(inside)])
     cells = F.array(*[F.struct(day(e).alias("end_date"), F.col(f"_q{i}").alias("qty")) for i, e in enumerate(ends)])
