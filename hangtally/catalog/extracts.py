@@ -90,7 +90,7 @@ def _(s):
 def _(s):
     windows = s.doc_header.groupBy("store_id").agg(F.date_add(F.min("doc_date"), 180).alias("start_date"),
                                                    F.date_sub(F.max("doc_date"), 180).alias("end_date"))
-    ledger = s.derived("document-ledger", lambda own: L.net(L.movement_rows(own.docs)), "move_date")
+    ledger = s.derived("document-ledger", lambda own: L.net_by_month(L.movement_rows(own.docs), "move_date"), "move_date")
     return ST.ledger_in_windows(ledger, written(windows, "windows"))
 
 

@@ -122,6 +122,18 @@ def net(rows: DataFrame, keys: Sequence[str] = ("store_id", "sku", "move_date",
     return rows.groupBy(*keys).agg(F.coalesce(F.sum("qty"), F.lit(0.0)).alias(out))
 
 
+#: Parts a month of the ledger is dealt to.
+MONTH_CELLS = 8
+
+
+def net_by_month(rows: DataFrame, date: str, keys: Sequence[str] = ("store_id", "sku", "move_date", "stat")) -> DataFrame:
+    """The signed sum with the ``month`` of its date: rows are dealt once, by month and a hash of store and SKU, and this serves
+    both the sum and the writing by month."""
+    dealt = rows.withColumns({"month": F.date_format(date, "yyyy-MM"),
+                              "_cell": F.pmod(F.xxhash64("store_id", "sku"), F.lit(MONTH_CELLS))}).repartition("month", "_cell")
+    return net(dealt, (*keys, "month", "_cell")).select(*keys, "qty", "month")
+
+
 def returns_ledger(docs: Documents, start: str, end: str) -> DataFrame:
     """Return rows (-) and cancelled returns (+) between two dates, one join."""
     window = F.col("doc_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))

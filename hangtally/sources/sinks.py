@@ -28,8 +28,10 @@ def overwrite(df: DataFrame, *paths: str, partition_by: Sequence[str] = ()) -> N
 
 
 def write_months(df: DataFrame, date: str, path: str) -> None:
-    """One Parquet folder per month, ``month=yyyy-MM``."""
-    rebalanced(df.withColumn("month", F.date_format(date, "yyyy-MM")), ["month"]).write.partitionBy("month").parquet(path)
+    """One Parquet folder per month, ``month=yyyy-MM``. A frame that has its months already (``ledger.net_by_month``) is written as it is dealt."""
+    if "month" not in df.columns:
+        df = rebalanced(df.withColumn("month", F.date_format(date, "yyyy-MM")), ["month"])
+    df.write.partitionBy("month").parquet(path)
 
 
 def export_by_month(df: DataFrame, date: str, path: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hangtally import constants as K
-from hangtally.operators.ledger import Documents, Family, net
+from hangtally.operators.ledger import Documents, Family, net_by_month
 from hangtally.operators.skus import numbered, sku_dictionary
 from hangtally.session import scratch_path
 from hangtally.sources.readers import read_months
@@ -191,7 +191,7 @@ class Standins:
             frame = build(Standins(self.spark, self.folder, tables=self._tables))
             path = scratch_path(self.spark, name)
             write_months(frame, date, path) if date else frame.write.parquet(path)
-            _DERIVED[key] = path, frame.schema
+            _DERIVED[key] = path, frame.drop("month").schema if date else frame.schema
         path, schema = _DERIVED[key]
         return read_months(self.spark, path, schema) if date else self.spark.read.schema(schema).parquet(path)
 
@@ -229,7 +229,7 @@ class Standins:
     @property
     def ledger(self) -> DataFrame:
         """Movements by store, SKU, date and kind, in folders by month."""
-        return self.derived("month-ledger", lambda s: net(numbered(s.movement_text, s.sku_numbers)), "move_date")
+        return self.derived("month-ledger", lambda s: net_by_month(numbered(s.movement_text, s.sku_numbers), "move_date"), "move_date")
 
     @property
     def counted(self) -> DataFrame:
