@@ -146,7 +146,8 @@ def _(s):
     # every third line has no mark of its own
     lines = s.sales_line.select("doc_id", "line_no", "sku", F.when(F.col("line_no") % 3 != 0, F.col("mark_id")).cast("int").alias("mark_id"))
     articles = s.article.select("sku", (F.col("sku") % 2).cast("int").alias("mark_id"), "category_id")
-    facts = S.marks_from_articles(lines.join(s.sales_header.select("doc_id", "cust_id", "sales_date"), "doc_id"), articles)
+    headers = S.with_usual_margin(s.sales_header.select("doc_id", "cust_id", "sales_date"), s.rate_asof)
+    facts = S.marks_from_articles(lines.join(headers, "doc_id"), articles)
     return S.resolve_margin(facts, s.rate_asof, s.rate_band).select("doc_id", "line_no", "cust_id", "mark_id", "margin", "margin_status")
 
 

@@ -15,13 +15,19 @@ from pyspark.sql.window import Window
 from hangtally.sources.versions import written
 
 
+#: Spans that Spark may send to all tasks, so that no join shuffles facts, and spans of a key that one join may compare.
+SMALL_SPANS, FEW_SPANS = 100_000, 16
+
+
 def _dated(facts: DataFrame, spans: DataFrame, keys: Sequence[str], fact_date: str, out: str) -> DataFrame:
     """Facts with ``out`` of the one span (``_from``, ``_to``) of their key that holds their date.
 
     Spans of a key are disjoint; a null end is open.  Closed spans are spread over the months
     they touch, so a fact meets at most the spans of its own key and month; open ones (two per
-    key at most) are met by key.  Facts are read once, and no date range is assumed.  The spans, prepared from rates alone, are
-    written once, as both joins read them.
+    key at most) are met by key, if there are any.  Where spans are many but a key has only a few, all are met by key at
+    once: facts are shuffled once, spans are not spread, and a hot key is left to Spark's splitting of skewed joins.
+    Facts are read once, and no date range is assumed.  The spans, prepared from rates alone, are
+    written once, as all of this reads them.
     """
     spans = written(spans, "rate-spans")
 
@@ -36,11 +42,15 @@ def _dated(facts: DataFrame, spans: DataFrame, keys: Sequence[str], fact_date: s
             cond = cond & m
         return left.join(r, cond, "left").select(*left.columns, name)
 
+    held = spans.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
+    if (held[0] or 0) > SMALL_SPANS and held[1] <= FEW_SPANS:
+        return matched(facts, spans, out)
     closed = F.col("_from").isNotNull() & F.col("_to").isNotNull()
     monthly = spans.where(closed).withColumn("_rm", F.explode(F.sequence(
         F.trunc("_from", "MM"), F.trunc("_to", "MM"), F.expr("interval 1 month"))))
     got = matched(facts.withColumn("_m", F.trunc(fact_date, "MM")), monthly, "_closed", F.col("_m") == F.col("_rm"))
-    got = matched(got, spans.where(~closed), "_open")
+    unbounded = spans.where(~closed)
+    got = got.withColumn("_open", F.lit(None)) if unbounded.isEmpty() else matched(got, unbounded, "_open")
     return got.withColumn(out, F.coalesce("_closed", "_open")).select(*facts.columns, out)
 
 

@@ -103,17 +103,23 @@ def marks_from_articles(lines: DataFrame, articles: DataFrame) -> DataFrame:
             .withColumn("mark_id", F.coalesce("mark_id", "_mark")).drop("_mark"))
 
 
+def with_usual_margin(df: DataFrame, rates: DataFrame, store: str = "cust_id") -> DataFrame:
+    """The store's usual margin beside each row; documents are fewer than lines, so it is best put on them."""
+    return df.join(store_modal_margin(rates, store), store, "left")
+
+
 def resolve_margin(lines: DataFrame, rates: DataFrame, bands: DataFrame, store: str = "cust_id") -> DataFrame:
     """Margin by dated band, else by effective date, else the store's usual margin.
 
-    Status tells whether a margin was found before the fallback.
+    Status tells whether a margin was found before the fallback.  Lines that bring ``modal_margin`` keep it.
     """
+    if "modal_margin" not in lines.columns:
+        lines = with_usual_margin(lines, rates, store)
     out = interval_join(lines, bands, [store, "category_id", "mark_id"], "sales_date",
                         "begin_date", "end_date", "margin", "_band")
     out = asof_join(out, rates, [store, "mark_id"], "sales_date", "effective_date", "margin", "_asof")
     found = F.coalesce("_band", "_asof", F.lit(0))
-    out = (out.withColumn("_found", found).drop("_band", "_asof")
-           .join(store_modal_margin(rates, store), store, "left"))
+    out = out.withColumn("_found", found).drop("_band", "_asof")
     return (out.withColumn("margin_status", F.when(F.col("_found") == 0, K.NO_MARGIN).otherwise(K.WITH_MARGIN))
             .withColumn("margin", F.when(F.col("_found") == 0, F.col("modal_margin")).otherwise(F.col("_found")))
             .drop("_found", "modal_margin"))
