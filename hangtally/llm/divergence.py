@@ -69,7 +69,7 @@ def tallied(docs: DataFrame) -> DataFrame:
             for at in range(0, len(terms), 50_000):
                 part = terms[at:at + 50_000]
                 yield batch(schema, [lang] * len(part), [source] * len(part), pa.array(part, pa.binary()).cast(pa.string()),
-                            [n[t] for t in part], [d[t] for t in part])
+                            list(map(n.__getitem__, part)), list(map(d.__getitem__, part)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held = {}, 0
@@ -97,7 +97,7 @@ def kept_counts(docs: DataFrame) -> DataFrame:
     summed = tallied(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("a"), F.sum("docs").alias("docs"))
     whole = Window.partitionBy("lang", "term")
     return (summed.withColumn("c", F.sum("a").over(whole)).withColumn("docs", F.sum("docs").over(whole))
-            .withColumn("leads", F.row_number().over(whole.orderBy("source")) == 1).where(f"docs >= {LEAST_DOCS}")
+            .withColumn("leads", F.col("source") == F.min("source").over(whole)).where(f"docs >= {LEAST_DOCS}")
             .select("lang", "source", "term", "a", "c", "leads"))
 
 
