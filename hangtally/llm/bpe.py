@@ -9,8 +9,8 @@ follows the back-pointers from the end.
 
 Cases: null text is an empty text, with no ids and an empty decoded text. Special strings inside a
 text become their ids, as in the public library. Repeated rows give repeated rows. Texts of any
-length are encoded whole; only words up to 64 characters are remembered between texts. An empty table gives an
-empty result. Further columns of any name are not read.
+length are encoded whole; only words up to 64 characters are remembered between texts, and until the task ends. An empty
+table gives an empty result. Further columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -147,6 +147,13 @@ def loaded(path: str) -> Bpe:
     return _LOADED[path]
 
 
+def forget() -> None:
+    """Drops the words and pairs that this worker remembers; the models stay."""
+    for b in _LOADED.values():
+        b._apart.clear()
+        b._known.clear()
+
+
 def _mapped(docs: DataFrame, keep: Sequence[str], source: str, made: list[T.StructField], fn) -> DataFrame:
     """Rows of ``keep`` with columns that ``fn`` makes from the values of ``source``, in slices of bounded size."""
     schema = T.StructType([docs.schema[c] for c in keep] + made)
@@ -154,11 +161,14 @@ def _mapped(docs: DataFrame, keep: Sequence[str], source: str, made: list[T.Stru
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
-        for b in batches:
-            for at in range(0, b.num_rows, 250):
-                part = b.slice(at, 250)
-                values = fn(part.column(len(keep)).to_pylist())
-                yield batch(arrow, *part.columns[:-1], *values)
+        try:
+            for b in batches:
+                for at in range(0, b.num_rows, 250):
+                    part = b.slice(at, 250)
+                    values = fn(part.column(len(keep)).to_pylist())
+                    yield batch(arrow, *part.columns[:-1], *values)
+        finally:   # Spark keeps the worker for tasks of other stages, which need the memory
+            forget()
 
     return docs.select(*keep, F.col(source).alias("_value")).mapInArrow(work, schema)
 

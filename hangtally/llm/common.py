@@ -10,6 +10,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from hangtally.session import scratch_path
 
@@ -40,6 +42,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few rows that the driver has. As an Arrow table it takes no Python workers on the executors, as a list it does."""
+    kind = _parse_datatype_string(schema)
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows)) if rows else [()] * len(arrow)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type)
                                        for c, f in zip(columns, schema)], schema=schema)

@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangtally.llm.common import stored
+from hangtally.llm.common import few_rows, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 12   # bits
@@ -136,20 +136,20 @@ def mix(docs: DataFrame, sources: Column, weight: Callable[[int], float], total_
     plan: dict[str, list[list[dict]]] = {p: [[] for _ in range(copies)] for p, _ in sums}
     for p, copy, n, e, s in cuts:
         plan[p][copy].append({"upto": limit[n] if e < whole[p] else (1 << 63) - 1, "source": s})
-    table = spark.createDataFrame([(p, t) for p, t in plan.items()], "_p string, _plan array<array<struct<upto: bigint, source: string>>>")
+    table = few_rows(spark, [(p, t) for p, t in plan.items()], "_p string, _plan array<array<struct<upto: bigint, source: string>>>")
     if len(plan) <= BROADCAST_PATTERNS:
         table = F.broadcast(table)   # one row per pattern, counted above
     hit = F.expr("filter(transform(_plan, t -> filter(t, e -> _order <= e.upto)), t -> size(t) > 0)")
     out = (rows.join(table, F.col("_pattern") == F.col("_p"), "left").withColumn("_hit", hit)
            .withColumns({"_copies": F.when(F.col("_size") > 0, F.size("_hit")).otherwise(0), "_credited": F.expr("transform(_hit, t -> t[0].source)")})
            .drop("_p", "_plan", "_pattern", "_order", "_hit"))
-    described = spark.createDataFrame([(s, sizes[s], goal[s]) for s in names], "source string, source_size bigint, target double")
+    described = few_rows(spark, [(s, sizes[s], goal[s]) for s in names], "source string, source_size bigint, target double")
     return out, described
 
 
 def _limits(spark, narrow: DataFrame, wanted: list[tuple[str, int, int]]) -> dict[int, int]:
     """The hash value at which each pattern's running size comes nearest to a wanted length."""
-    ask = spark.createDataFrame(wanted, "p string, number int, length bigint")
+    ask = few_rows(spark, wanted, "p string, number int, length bigint")
     if len(wanted) <= BROADCAST_PATTERNS:
         ask = F.broadcast(ask)
     binned = narrow.withColumn("bin", F.shiftright("_order", 64 - BINS))

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -53,6 +54,21 @@ def test_bpe_equals_the_library(docs):
     assert bpe.digests(bpe.round_trip(docs.limit(0), TOKENIZER)).count() == 0
 
 
+def test_workers_forget_words_when_a_task_ends(spark, docs):
+    """What a worker keeps after its task is memory that later stages lack."""
+    for step in (bpe.encode, bpe.round_trip):
+        step(docs, TOKENIZER).collect()
+
+        def held(batches):
+            for b in batches:
+                n = [len(m) for e in bpe._LOADED.values() for m in (e._known, e._apart)]
+                yield pa.RecordBatch.from_pydict({"loaded": [len(n)], "held": [sum(n)]})
+
+        found = spark.range(0, 16, 1, 16).mapInArrow(held, "loaded bigint, held bigint").collect()
+        assert any(r["loaded"] for r in found)   # some of these tasks run in workers that have encoded
+        assert not any(r["held"] for r in found)
+
+
 def test_bpe_on_random_texts():
     t, b = Tokenizer.from_file(TOKENIZER), bpe.loaded(TOKENIZER)
     for k in range(3000):
@@ -147,6 +163,12 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5} | {20 + k: 20 for k in range(31)}
 
 
+def test_the_mix_takes_no_python_workers(spark, docs, tmp_path):
+    docs.select("doc_id", "text", "source").write.parquet(path := f"{tmp_path}/docs")
+    for made in mixing.by_source(spark.read.parquet(path)):
+        assert "PythonRDD" not in made._jdf.rdd().toDebugString()
+
+
 def test_mixing(docs):
     rows = mixing.report(docs).collect()
     assert key(rows) == key(mixing.report(docs).collect())
