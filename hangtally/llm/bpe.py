@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hangtally.llm.common import batch, prepare
+from hangtally.llm.common import batch, frugal, prepare
 from hangtally.llm.words import Memo, Splitter, byte_letters
 
 _END = 0x1000   # added to the code of a word's last letter
@@ -158,6 +158,7 @@ def _mapped(docs: DataFrame, keep: Sequence[str], source: str, made: list[T.Stru
     """Rows of ``keep`` with columns that ``fn`` makes from the values of ``source``, in slices of bounded size."""
     schema = T.StructType([docs.schema[c] for c in keep] + made)
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
@@ -167,7 +168,7 @@ def _mapped(docs: DataFrame, keep: Sequence[str], source: str, made: list[T.Stru
                     part = b.slice(at, 250)
                     values = fn(part.column(len(keep)).to_pylist())
                     yield batch(arrow, *part.columns[:-1], *values)
-        finally:   # Spark keeps the worker for tasks of other stages, which need the memory
+        finally:
             forget()
 
     return docs.select(*keep, F.col(source).alias("_value")).mapInArrow(work, schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -42,6 +43,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns what this process has freed to the system, as far as Arrow and the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow; Spark keeps its worker for tasks of other stages, so freed memory goes back when a task ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+    return run
+
+
 def few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table of a few rows that the driver has. As an Arrow table it takes no Python workers on the executors, as a list it does."""
     kind = _parse_datatype_string(schema)

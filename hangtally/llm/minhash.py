@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
-from hangtally.llm.common import batch, components, prepare, rows_of, stored
+from hangtally.llm.common import batch, components, frugal, prepare, rows_of, stored
 from hangtally.llm.words import Memo
 
 WORDS, CHUNKS, CHUNK = 5, 12, 4
@@ -89,6 +89,7 @@ def signatures(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     out = StructType([StructField("doc_id", LongType()), *[docs.schema[c] for c in keep], *made.fields])
     schema = to_arrow_schema(out)
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for b in batches:
@@ -110,6 +111,7 @@ def _entries(classes: DataFrame) -> DataFrame:
     out = "entry bigint, node bigint"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -138,6 +140,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     out = "u bigint, v bigint"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, now, own = Shingles(), None, None
         for b in batches:
@@ -193,6 +196,7 @@ def _strays(stars: DataFrame, parts: DataFrame, texts: DataFrame, percent: int)
     out = "u bigint, v bigint"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, now, index = Shingles(), None, None
         own, sets = [], []

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from hangtally.llm.common import batch, prepare, rows_of, stored
+from hangtally.llm.common import batch, frugal, prepare, rows_of, stored
 
 WINDOW, ANCHOR, STRIDE = 100, 32, 25
 #: Bytes of contexts that a task's rows aim at and that it judges at once, shards that are merged then, and contexts of
@@ -103,6 +103,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     out = "anchor bigint, context bigint, doc bigint, place bigint"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for b in batches:
@@ -255,6 +256,7 @@ def _judged(contexts: DataFrame) -> DataFrame:
         if made:
             yield batch(schema, *zip(*made))
 
+    @frugal
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, size = [], 0   # whole anchors, in their order
         for row in rows_of(batches):
@@ -294,6 +296,7 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     out = "anchor bigint, doc bigint, tag int, start bigint, data binary"
     schema = to_arrow_schema(_parse_datatype_string(out))
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 200):
@@ -335,6 +338,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), as_text
     made = _parse_datatype_string(f"n_bytes bigint, kept {'string' if as_text else 'binary'}, spans array<struct<low: bigint, high: bigint>>")
     schema = StructType([docs.schema[c] for c in keep] + made.fields)
 
+    @frugal
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, n = to_arrow_schema(schema), len(keep)
         for b in batches:
