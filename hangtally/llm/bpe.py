@@ -9,8 +9,8 @@ follows the back-pointers from the end.
 
 Cases: null text is an empty text, with no ids and an empty decoded text. Special strings inside a
 text become their ids, as in the public library. Repeated rows give repeated rows. Texts of any
-length are encoded whole; only words up to 64 characters are remembered between texts, and until the task ends. An empty
-table gives an empty result. Further columns of any name are not read.
+length are encoded whole; only words up to 64 characters are remembered between texts, and beyond a task if
+they are few. An empty table gives an empty result. Further columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from hangtally.llm.common import batch, frugal, prepare
 from hangtally.llm.words import Memo, Splitter, byte_letters
 
+#: Words, and pairs of tokens, up to which a worker remembers them beyond a task.
+KEPT = 200_000
 _END = 0x1000   # added to the code of a word's last letter
 
 
@@ -148,10 +150,11 @@ def loaded(path: str) -> Bpe:
 
 
 def forget() -> None:
-    """Drops the words and pairs that this worker remembers; the models stay."""
+    """Drops the words and pairs that this worker remembers if they are many; the models stay."""
     for b in _LOADED.values():
-        b._apart.clear()
-        b._known.clear()
+        for m in (b._apart, b._known):
+            if len(m) > KEPT:
+                m.clear()
 
 
 def _mapped(docs: DataFrame, keep: Sequence[str], source: str, made: list[T.StructField], fn) -> DataFrame:
